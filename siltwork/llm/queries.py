@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltwork.llm import encode, mixture, near, pieces, splits
+from siltwork.llm import consensus, encode, leaks, mixture, near, pieces, scans, splits
 from siltwork.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,26 @@ def p3_splits(spark: SparkSession, d: str) -> DataFrame:
     return splits.assign(table(spark, d, "sft_examples"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return consensus.unrelated(table(spark, d, "reviews"))
+
+
+def p4_reliability(spark: SparkSession, d: str) -> DataFrame:
+    return consensus.reliability(table(spark, d, "reviews"))
+
+
+def p4_consensus(spark: SparkSession, d: str) -> DataFrame:
+    return consensus.consensus(table(spark, d, "reviews"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.noise(table(spark, d, "textbook_chunks"))
+
+
+def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return scans.repair_chunks(table(spark, d, "textbook_chunks")).select("chunk_id", "noise", "repaired")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = near.similar_pairs(table(spark, d, "questions"), "question_id", ["question_text", "answer_text"])
     return pairs.select(F.col("a").alias("question_id_a"), F.col("b").alias("question_id_b"))
@@ -59,6 +79,14 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_texts(table(spark, d, "documents"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaks(table(spark, d, "documents"), table(spark, d, "heldout_items")).select("doc_id", "item_id")
+
+
+def p9_items(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "heldout_items"))
+
+
 def queries() -> dict[str, Query]:
     own = {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
     return dict(sorted(own.items(), key=lambda x: (int(x[0][1:].split("_")[0]), x[0])))
