@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltwork.llm import consensus, encode, leaks, mixture, near, pieces, scans, splits
+from siltwork.llm import answers, consensus, encode, leaks, mixture, near, pieces, scans, severity, splits
 from siltwork.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,14 @@ def p6_groups(spark: SparkSession, d: str) -> DataFrame:
     return near.groups(table(spark, d, "questions"), "question_id", ["question_text", "answer_text"])
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return answers.defective(table(spark, d, "drafts"))
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return answers.defects(table(spark, d, "drafts"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_texts(table(spark, d, "documents"))
 
@@ -87,6 +95,19 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "heldout_items"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    s = severity.score(table(spark, d, "documents"), table(spark, d, "doc_flags"))
+    return s.where((F.col("probability") >= severity.CUTOFF) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    return severity.score(table(spark, d, "documents"), table(spark, d, "doc_flags"))
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    return severity.rates(table(spark, d, "documents"), table(spark, d, "doc_flags"))
+
+
 def queries() -> dict[str, Query]:
     own = {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
     return dict(sorted(own.items(), key=lambda x: (int(x[0][1:].split("_")[0]), x[0])))
