@@ -24,7 +24,7 @@ REFUSED, ECHOED, GIVEN_BACK, ABROAD = 0.3, 0.5, 0.6, 0.5
 
 #: Frequent words by language.
 STOPWORDS = {
-    "en": "the a an and of to in is are was were that this it for with by as at from which what how many would does not no all each other more than when where who be been has have had its or if on into there between after before because name identify",
+    "en": "i you me my we but am can could do no the a an and of to in is are was were that this it for with by as at from which what how many would does not no all each other more than when where who be been has have had its or if on into there between after before because name identify",
     "es": "el la los las un una de del que y en es por para con se su al lo como más pero cuando porque qué cuál hay sobre entre hasta muy no según",
     "fr": "le la les un une des du de que qui et en est dans pour par sur avec au aux il elle on ne pas plus ce cette quelle car puis selon l d qu n jusqu",
     "de": "der die das den dem des ein eine einen einer und ist nicht mit von zu im in am auf für als wird wurde was war weil wenn man noch nach bei aus durch über laut mehr",
@@ -109,6 +109,10 @@ NAMES = [
     "cut-choice", "is-choice", "last&multi&open", "last&only&open", "question-mark", "digits",
 ]
 WIDTH = len(NAMES) + HASHED
+PRIORS = [
+    ("bias", ANSWER, 1.5), ("foreign", FOREIGN, 3.0), ("echo>=0.8", ECHO, 3.0), ("speaker+unable", REFUSAL, 1.5), ("unable+demand", REFUSAL, 1.0), ("cut-choice", UNFINISHED, 4.0), ("last&multi&open", UNFINISHED, 3.0),
+    ("trails", UNFINISHED, 2.0),
+]
 
 
 class Draft:
@@ -183,8 +187,21 @@ class Field:
         k = len(LABELS)
         self.w, self.t = np.zeros((WIDTH, k)) if w is None else w, np.zeros((k, k)) if t is None else t
 
+    def start(self) -> Field:
+        """First guesses of the signs that speak for a label, for when there are few drafts to learn from."""
+        for name, label, weight in PRIORS:
+            self.w[NAMES.index(name), label] = weight
+        return self
+
+    def nodes(self, x: np.ndarray) -> np.ndarray:
+        """Node scores; a clause in the question's language can't be foreign, one that shares nothing with the question no echo."""
+        s = x @ self.w
+        s[:, FOREIGN] -= 50 * (1 - x[:, NAMES.index("foreign")])
+        s[:, ECHO] -= 50 * (1 - x[:, NAMES.index("echo>=0.2")])
+        return s
+
     def marginals(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        s, n = x @ self.w, len(x)
+        s, n = self.nodes(x), len(x)
         e, m = np.exp(s - s.max(axis=1, keepdims=True)), np.exp(self.t)
         a, b = np.zeros_like(e), np.ones_like(e)
         a[0] = e[0] / e[0].sum()
@@ -218,7 +235,7 @@ class Field:
         return self
 
     def tags(self, x: np.ndarray) -> list[int]:
-        s, back = x @ self.w, []
+        s, back = self.nodes(x), []
         best = s[0]
         for i in range(1, len(x)):
             m = best[:, None] + self.t
@@ -231,7 +248,7 @@ class Field:
 
 
 def training_rows(drafts: list[tuple[str | None, str | None, list[str] | None]]) -> list[tuple[np.ndarray, list[int]]]:
-    """Sequences of the drafts, and of defects made of them: cut answers, returned questions, seed refusals after nothing or after a part."""
+    """Sequences of the drafts, and of defects made of them: cut answers and choices, returned questions, seed refusals after nothing or after a part."""
     data = []
     for i, (q, a, ch) in enumerate(drafts):
         if is_empty(a):
@@ -250,6 +267,9 @@ def training_rows(drafts: list[tuple[str | None, str | None, list[str] | None]])
             r = REFUSALS[(i // 4) % len(REFUSALS)]
             one = Draft(q, "ANSWER: " + r + (" " + REFUSALS[-1 - i % 3] if i % 8 == 2 else ""), ch)
             data.append((one.x, [REFUSAL] * len(one.clauses)))
+        if ch and i % 3 == 0 and len(ch[0]) > 6:
+            c = Draft(q, f"ANSWER: W) {ch[0][: 3 + len(ch[0]) * (1 + i % 2) // 4]}", ch)
+            data.append((c.x, [UNFINISHED if c.cut else ANSWER] * len(c.clauses)))
     return [(x, y) for x, y in data if len(y)]
 
 
@@ -279,7 +299,7 @@ def fit(drafts: DataFrame, rows: int = TRAIN_ROWS) -> Field:
     got = picked.orderBy(F.xxhash64("draft_id"), "draft_id", "question_text", "answer_text").limit(rows).collect()
     sample = [(r.question_text, r.answer_text, [c["text"] for c in r.choices or [] if c]) for r in got]
     sample += [("Which of these would be measured first?", "ANSWER: " + r, None) for r in REFUSALS]
-    return Field().train(training_rows(sample))
+    return Field().start().train(training_rows(sample))
 
 
 def defects(drafts: DataFrame) -> DataFrame:
