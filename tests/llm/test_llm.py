@@ -190,14 +190,14 @@ def test_scans(spark):
     t = "Essential Cell Biology Today"
     rows = [
         ("clean", filler + "As a rule, pre- and post-event samples cost 12.5 hours."), ("hyph", filler + "The mem-\nbrane moves."), ("soft", filler + "The pendu­ lum moves."), ("mis", filler + "The membranc and the rnembrane move."), ("sign", filler + "A ch@nnels."),
-        ("head", filler + "The channels\nESSENTIAL  CELL  BIOLOGY TODAY\nmove on."), ("page", filler + "The channels\n- 7 -\nmove on."), ("bare", filler + "The channels 7 move on."), ("sect", "4.1 Gorun Membrane\n" + filler),
+        ("head", filler + "The channels\nESSENTIAL  CELL  BIOLOGY TODAY\nmove on."), ("page", filler + "The channels\n- 7 -\nmove on."), ("both", filler + "The mem-\n\n- 7 -\n\nbrane moves."), ("bare", filler + "The channels 7 move on."), ("sect", "4.1 Gorun Membrane\n" + filler),
     ]
     df = spark.createDataFrame([(i + "_p0007_x", "d", t, "Gorun Membrane", [7], x, "") for i, x in rows] + [("null", "d", None, None, None, None, ""), ("empty", None, None, None, [], "", ""), ("clean_p0007_x", "d", t, "Gorun Membrane", [7], rows[0][1], "")], CHUNK)
     got = {r.chunk_id.split("_")[0]: set(r.noise) for r in scans.repair_chunks(df).collect()}
-    assert got == {"clean": set(), "hyph": {"hyphenation"}, "soft": {"hyphenation"}, "mis": {"misread"}, "sign": {"misread"}, "head": {"running_header"}, "page": {"page_number"}, "bare": {"page_number"}, "sect": set(), "empty": set()}
+    assert got == {"clean": set(), "hyph": {"hyphenation"}, "soft": {"hyphenation"}, "mis": {"misread"}, "sign": {"misread"}, "head": {"running_header"}, "page": {"page_number"}, "both": {"hyphenation", "page_number"}, "bare": {"page_number"}, "sect": set(), "empty": set()}
     fixed = {r.chunk_id.split("_")[0]: r.repaired for r in scans.repair_chunks(df).collect()}
     assert fixed["clean"] == rows[0][1] and fixed["hyph"].endswith("The membrane moves.") and fixed["soft"].endswith("The pendulum moves.")
-    assert fixed["mis"].endswith("The membrane and the membrane move.") and fixed["head"].endswith("The channels move on.") and fixed["page"].endswith("The channels move on.")
+    assert fixed["mis"].endswith("The membrane and the membrane move.") and fixed["head"].endswith("The channels move on.") and fixed["page"].endswith("The channels move on.") and fixed["both"].endswith("The membrane moves.")
     assert scans.noise(df.limit(0)).count() == 0
 
 
