@@ -147,13 +147,17 @@ class Ordinal:
         common = np.bincount(seen, minlength=len(self.w)) >= (2 if len(docs) < 500 else least)
         common[:_DENSE] = True
         self.w *= common
+        keep, at = common[idx], np.repeat(np.arange(len(flat)), sizes)
+        idx, sizes = idx[keep], np.bincount(at[keep], minlength=len(flat))  # feature 0 is in every sentence, so none is left empty
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         above = (grades[:, None] > np.arange(GRADES - 1)[None, :]).astype(float)
         # steps in proportion to the root of the documents that have a feature, so that rare ones move slowly
         scale = rate / np.sqrt(np.maximum(np.bincount(seen, minlength=len(self.w)), 1.0))
         speed, prior = np.zeros_like(self.w), self.w.copy()
         for p in range(passes):
             score = np.add.reduceat(self.w[idx], starts)
-            worst = np.array([f + int(np.argmax(score[f : f + n])) for f, n in zip(first, of, strict=True)])
+            top = np.flatnonzero(score == np.maximum.reduceat(score, first)[owner])
+            worst = top[np.unique(owner[top], return_index=True)[1]]
             gap = above - 1 / (1 + np.exp(-np.clip(score[worst][:, None] - self.b[None, :], -30, 30)))
             # some flags are wrong, some documents without are not ok: from a third of the passes on, what is far on the wrong side hardly pulls
             g = gap * np.where((np.abs(gap) > trim) & (p > passes // 3), 0.05, 1.0) * weight[:, None]
