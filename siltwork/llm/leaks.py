@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.runtime import cut, spread
 
 #: An item leaked if a document holds this share of its words in order (half, less a word changed at an edge), and this share of their weight by rarity (stock phrases weigh little).
 SHARE, WEIGHT = 0.48, 0.42
-#: Share of an item's weight, from its rarest terms on, whose postings are looked up. A leak has WEIGHT - (1 - LOOKUP) in them.
-LOOKUP = 0.75
-#: Words in which hits of one passage lie at most apart in their offset-adjusted positions; words of a remark between two parts.
-DRIFT, REMARK, RUN = 64, 40, 3
+#: Words of a remark between two parts; equal words in a row that a run has, which is also the length of the indexed phrases.
+REMARK, RUN = 40, 3
 
 
 def terms(text: Column) -> Column:
@@ -25,29 +25,27 @@ def terms(text: Column) -> Column:
 
 
 def postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(term, doc_id, pos) of the terms in `vocabulary`, kept in the shared folder.
+    """(phrase, doc_id, pos) of the phrases of RUN words in `vocabulary`, kept in the shared folder.
 
-    The vocabulary is that of a fixed set of test items (200 here, some thousand terms), so it is sent to every task and only
+    The vocabulary is that of a fixed set of test items (200 here, some thousand phrases), so it is sent to every task and only
     its postings are ever shuffled.
     """
-    rows = spread(docs.select("doc_id", "text")).select("doc_id", F.posexplode(terms(F.col("text"))).alias("pos", "term"))
-    return cut(rows.join(F.broadcast(vocabulary), "term"))
-
-
-def _covered(doc: list[str], item: list[str], weight: list[float]) -> tuple[float, float, float, int]:
-    """Best in-order cover of `item` by runs in `doc`: (share of words, of weight, of words in the longest run, first position)."""
-    where: dict[str, list[int]] = {}
-    for o, t in enumerate(item):
-        where.setdefault(t, []).append(o)
-    diagonals: dict[int, list[int]] = {}
-    for p, t in enumerate(doc):
-        for o in where.get(t, ()):
-            diagonals.setdefault(p - o, []).append(o)
+    words = spread(docs.select("doc_id", "text")).select("doc_id", terms(F.col("text")).alias("w"))
+    rows = words.select("doc_id", F.posexplode(F.arrays_zip(*[F.slice("w", k + 1, F.size("w")).alias(f"w{k}") for k in range(RUN)])).alias("pos", "p"))
+    rows = rows.select("doc_id", "pos", F.concat_ws(" ", *[F.col("p")[f"w{k}"] for k in range(RUN)]).alias("phrase"))
+    return cut(rows.join(F.broadcast(vocabulary), "phrase"))
+
+
+def _covered(doc: list[str], item: list[str], weight: list[float], diagonals: list[int]) -> tuple[float, float, float, int]:
+    """Best in-order cover of `item` by runs in `doc`: (share of words, of weight, of words in the longest run, first position).
+
+    `diagonals` are the places of the item's phrases in the document less those in the item; no run lies on another one.
+    """
     runs = []  # (first offset, end offset, diagonal, equal offsets); a run may skip a changed word, and needs RUN equal words in a row
-    for d, offs in diagonals.items():
+    for d in diagonals:
+        offs = [o for o in range(max(0, -d), min(len(item), len(doc) - d)) if doc[d + o] == item[o]]
         if len(offs) < RUN:
             continue
-        offs.sort()
         equal, streak, longest = [offs[0]], 1, 1
         for o in [*offs[1:], 1 << 30]:
             if o - equal[-1] <= 2:
@@ -77,31 +75,25 @@ def _covered(doc: list[str], item: list[str], weight: list[float]) -> tuple[floa
     return words / n, top / (sum(weight) or 1.0), max((b - a for a, b, _, _ in runs), default=0) / n, at
 
 
-def weighted_terms(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The items' (item_id, off, term, weight), weight being ln((1 + N) / (1 + df)) over all documents, and the stored postings."""
-    words = cut(items.where("item_id is not null and text is not null").select("item_id", F.posexplode(terms(F.col("text"))).alias("off", "term")).distinct())
-    index = postings(docs, words.select("term").distinct())
-    df = index.select("term", "doc_id").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n = docs.count()
-    weight = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.coalesce("df", F.lit(0)))) + 1e-3
-    return cut(words.join(df, "term", "left").select("item_id", "off", "term", weight.alias("weight"))), index
+def item_words(items: DataFrame) -> dict:
+    """The words of each item in order, of the fixed test items."""
+    rows = items.where("item_id is not null and text is not null").select("item_id", F.posexplode(terms(F.col("text"))).alias("off", "term")).distinct()
+    of: dict = {}
+    for i, _, t in sorted(rows.collect()):
+        of.setdefault(i, []).append(t)
+    return of
 
 
-def candidates(weighted: DataFrame, index: DataFrame) -> DataFrame:
-    """(doc_id, item_id) of the documents with enough of an item's rarest terms at one place.
+def rarity(of: dict) -> dict[str, float]:
+    """ln((1 + M) / (1 + df)) of each word over the M items, which no number of leaked copies in documents can move."""
+    df = Counter(t for words in of.values() for t in set(words))
+    return {t: math.log((1 + len(of)) / (1 + n)) + 1e-3 for t, n in df.items()}
 
-    The rarest terms that make up LOOKUP of an item's weight are looked up, and their positions shifted by the term's offset
-    in the item. As the terms left out weigh 1 - LOOKUP, a passage of WEIGHT has WEIGHT - (1 - LOOKUP) among the looked-up ones,
-    at shifted positions within DRIFT of each other; each position is put in two overlapping bins of twice that width.
-    """
-    item = Window.partitionBy("item_id")  # an item's words, some dozens
-    w = weighted.withColumn("all", F.sum("weight").over(item))
-    before = F.sum("weight").over(item.orderBy(F.desc("weight"), "off").rowsBetween(Window.unboundedPreceding, -1))
-    rare = w.withColumn("before", before).where(F.coalesce("before", F.lit(0.0)) < LOOKUP * F.col("all")).select("item_id", "off", "term", "weight", "all")
-    hits = index.join(F.broadcast(rare), "term").withColumn("shift", F.floor((F.col("pos") - F.col("off")) / DRIFT))
-    hits = hits.select("doc_id", "item_id", "weight", "all", F.explode(F.array("shift", F.col("shift") + 1)).alias("shift"))
-    hits = hits.groupBy("doc_id", "item_id", "shift").agg(F.sum("weight").alias("w"), F.max("all").alias("all"))
-    return hits.where(F.col("w") >= (WEIGHT - 1 + LOOKUP) * F.col("all")).select("doc_id", "item_id").distinct()
+
+def candidates(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(doc_id, item_id, diagonals) of the documents with any phrase of an item, (item_id, off, phrase): as each run has RUN equal words in a row, none is missed."""
+    hits = postings(docs, phrases.select("phrase").distinct()).join(F.broadcast(phrases), "phrase")
+    return hits.groupBy("doc_id", "item_id").agg(F.collect_set(F.col("pos") - F.col("off")).alias("diagonals"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE, least: float = WEIGHT) -> DataFrame:
@@ -113,13 +105,12 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE, least: float
     occurs twice is reported once, and the columns other than doc_id, item_id and text may have any name.
     """
     docs = docs.where("doc_id is not null and text is not null and text <> ''").select("doc_id", "text")
-    weighted, index = weighted_terms(docs, items)
-    found = candidates(weighted, index).groupBy("doc_id").agg(F.collect_set("item_id").alias("items"))
-    of: dict = {}
-    for i, _, t, w in sorted(weighted.select("item_id", "off", "term", "weight").collect()):  # the fixed test items
-        of.setdefault(i, ([], []))[0].append(t)
-        of[i][1].append(w)
     kind = items.schema["item_id"].dataType.simpleString()
+    of = item_words(items)
+    rare = rarity(of)
+    phrases = docs.sparkSession.createDataFrame([(i, o, " ".join(w[o : o + RUN])) for i, w in of.items() for o in range(len(w) - RUN + 1)], f"item_id {kind}, off int, phrase string")
+    found = candidates(docs, phrases).groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "diagonals")).alias("items"))
+    weights = {i: [rare[t] for t in w] for i, w in of.items()}
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {kind}, share double, weight double, run_share double, first_word int"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -127,8 +118,9 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE, least: float
             out = []
             for doc, words, its in zip(b["doc_id"], b["words"], b["items"], strict=True):
                 words = list(words)
-                for i in its:
-                    s, w, longest, at = _covered(words, *of[i])
+                for x in its:
+                    i = x["item_id"]
+                    s, w, longest, at = _covered(words, of[i], weights[i], x["diagonals"])
                     if s >= share and w >= least:
                         out.append((doc, i, s, w, longest, at))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "share", "weight", "run_share", "first_word"])

@@ -334,6 +334,20 @@ def test_leaks(spark):
     assert leaks.leaks(df.limit(0), it).count() == 0 and leaks.leaks(df, it.limit(0)).count() == 0
 
 
+def half_leaks():
+    rng = random.Random(99)
+    items = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(54))) for i in range(30)]
+    return rng, items, lambda n: " ".join(f"v{rng.randrange(500)}" for _ in range(n))
+
+
+def test_leaked_half_in_a_third_of_the_documents(spark):
+    _, items, other = half_leaks()
+    half = " ".join(items[0][1].split()[:29])
+    docs = [(i, f"{other(30)} {half if i % 3 == 0 else ''} {other(30)}") for i in range(600)]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in leaks.leaks(df, it).collect()} == {(i, 0) for i in range(0, 600, 3)}
+
+
 # ---- 10: severity
 
 
