@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 from siltwork.runtime import cut, spread
 
-#: An item leaked if a document holds this share of its words in order (half, less a word changed at an edge), and this share of their weight by rarity (stock phrases weigh little).
-SHARE, WEIGHT = 0.48, 0.42
+#: An item leaked if a document holds this share of its words in order (half, less a word changed at an edge).
+SHARE = 0.48
+#: A cover is made of stock phrases and chance if fewer phrases of RUN unchanged words than this share of its words are the item's own,
+#: which are those found in at most STOCK of the items, or in two.
+OWN, STOCK = 0.3, 0.02
 #: Words of a remark between two parts; equal words in a row that a run has, which is also the length of the indexed phrases.
 REMARK, RUN = 40, 3
 
@@ -36,19 +39,20 @@ def postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return cut(rows.join(F.broadcast(vocabulary), "phrase"))
 
 
-def _covered(doc: list[str], item: list[str], weight: list[float], diagonals: list[int]) -> tuple[float, float, float, int]:
-    """Best in-order cover of `item` by runs in `doc`: (share of words, of weight, of words in the longest run, first position).
+def _covered(doc: list[str], item: list[str], own: set[int], diagonals: list[int]) -> tuple[float, float, float, int]:
+    """Best in-order cover of `item` by runs in `doc`: (share of words, own phrases per word of it, share of words in the longest run, first position).
 
-    `diagonals` are the places of the item's phrases in the document less those in the item; no run lies on another one.
+    `own` are the offsets of the item's own phrases. `diagonals` are the places of the item's phrases in the document less
+    those in the item; no run lies on another one. Changed words inside a run count as its words.
     """
-    runs = []  # (first offset, end offset, diagonal, equal offsets); a run may skip a changed word, and needs RUN equal words in a row
+    runs = []  # (first offset, end offset, diagonal, equal offsets); a run may skip two changed words in a row, and needs RUN equal words in a row
     for d in diagonals:
         offs = [o for o in range(max(0, -d), min(len(item), len(doc) - d)) if doc[d + o] == item[o]]
         if len(offs) < RUN:
             continue
         equal, streak, longest = [offs[0]], 1, 1
         for o in [*offs[1:], 1 << 30]:
-            if o - equal[-1] <= 2:
+            if o - equal[-1] <= RUN:
                 streak = streak + 1 if o == equal[-1] + 1 else 1
                 longest = max(longest, streak)
                 equal.append(o)
@@ -57,22 +61,24 @@ def _covered(doc: list[str], item: list[str], weight: list[float], diagonals: li
                     runs.append((equal[0], equal[-1] + 1, d, equal))
                 equal, streak, longest = [o], 1, 1
     runs.sort(key=lambda r: r[:3])
-    best: list[tuple[float, int, int]] = []  # weight and words of the best chain that ends in a run, and its first position
-    top, words, at = 0.0, 0, 0
+    best: list[tuple[int, int, int]] = []  # words and own phrases of the best chain that ends in a run, and its first position
+    words, phrases, at = 0, 0, 0
     for i, (a, b, d, equal) in enumerate(runs):
-        score, length, start = sum(weight[o] for o in equal), b - a, a + d
+        same = set(equal)
+        held = [o for o in equal if o in own and all(o + k in same for k in range(1, RUN))]
+        length, kept, start = b - a, len(held), a + d
         for j in range(i):
             a2, b2, d2, _ = runs[j]
             if a2 < a and b2 < b and a2 + d2 < a + d and b2 + d2 < b + d and d - d2 <= REMARK and d2 - d <= len(item) // 2:
                 first = max(a, b2, b2 + d2 - d)
-                own = best[j][0] + sum(weight[o] for o in equal if o >= first)
-                if first < b and own > score:
-                    score, length, start = own, best[j][1] + b - first, best[j][2]
-        best.append((score, length, start))
-        if score > top:
-            top, words, at = score, length, start
+                more = best[j][0] + b - first, best[j][1] + sum(o >= first for o in held)
+                if first < b and sum(more) > length + kept:
+                    (length, kept), start = more, best[j][2]
+        best.append((length, kept, start))
+        if length + kept > words + phrases:
+            words, phrases, at = length, kept, start
     n = max(1, len(item))
-    return words / n, top / (sum(weight) or 1.0), max((b - a for a, b, _, _ in runs), default=0) / n, at
+    return words / n, phrases / max(1, words), max((b - a for a, b, _, _ in runs), default=0) / n, at
 
 
 def item_words(items: DataFrame) -> dict:
@@ -84,34 +90,45 @@ def item_words(items: DataFrame) -> dict:
     return of
 
 
-def rarity(of: dict) -> dict[str, float]:
-    """ln((1 + M) / (1 + df)) of each word over the M items, which no number of leaked copies in documents can move."""
-    df = Counter(t for words in of.values() for t in set(words))
-    return {t: math.log((1 + len(of)) / (1 + n)) + 1e-3 for t, n in df.items()}
+def item_phrases(of: dict) -> list[tuple]:
+    """(item, offset, phrase, own) of each item's phrases; counted over the items, so no number of leaked copies in documents moves `own`."""
+    rows = [(i, o, " ".join(w[o : o + RUN])) for i, w in of.items() for o in range(len(w) - RUN + 1)]
+    df = Counter(p for _, p in {(i, p) for i, _, p in rows})
+    return [(i, o, p, df[p] <= max(2, STOCK * len(of))) for i, o, p in rows]
 
 
-def candidates(docs: DataFrame, phrases: DataFrame) -> DataFrame:
-    """(doc_id, item_id, diagonals) of the documents with any phrase of an item, (item_id, off, phrase): as each run has RUN equal words in a row, none is missed."""
-    hits = postings(docs, phrases.select("phrase").distinct()).join(F.broadcast(phrases), "phrase")
+def candidates(docs: DataFrame, phrases: DataFrame, least: DataFrame) -> DataFrame:
+    """(doc_id, item_id, diagonals) of the documents that hold enough own phrases of an item for a cover of SHARE.
+
+    phrases is (item_id, off, phrase, own), least (item_id, least) the number of own phrases; as a cover needs so many, none is missed.
+    """
+    index = postings(docs, phrases.select("phrase").distinct())
+    own = index.join(F.broadcast(phrases.where("own")), "phrase").groupBy("doc_id", "item_id").agg(F.countDistinct("off").alias("held"))
+    found = own.join(F.broadcast(least), "item_id").where("held >= least").select("doc_id", "item_id")
+    hits = index.join(F.broadcast(phrases), "phrase").join(found, ["doc_id", "item_id"], "left_semi")
     return hits.groupBy("doc_id", "item_id").agg(F.collect_set(F.col("pos") - F.col("off")).alias("diagonals"))
 
 
-def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE, least: float = WEIGHT) -> DataFrame:
-    """(doc_id, item_id, share, weight, run_share, first_word, exact) of each document that holds at least `share` of an item's words.
+def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE, least: float = OWN) -> DataFrame:
+    """(doc_id, item_id, share, own, run_share, first_word, exact) of each document that holds at least `share` of an item's words.
 
     Words count in order, as one passage or as parts with a short remark between, changed words inside a run included; a run
-    needs RUN equal words in a row, so shared names and stock phrases don't add up. `exact` marks unbroken whole items. Null
+    needs RUN equal words in a row and the cover `least` own phrases per word, so shared names and stock phrases don't add up. `exact` marks unbroken whole items. Null
     and empty texts match nothing, items without a word are left out, copies of documents are each reported, an id that
     occurs twice is reported once, and the columns other than doc_id, item_id and text may have any name.
     """
     docs = docs.where("doc_id is not null and text is not null and text <> ''").select("doc_id", "text")
     kind = items.schema["item_id"].dataType.simpleString()
     of = item_words(items)
-    rare = rarity(of)
-    phrases = docs.sparkSession.createDataFrame([(i, o, " ".join(w[o : o + RUN])) for i, w in of.items() for o in range(len(w) - RUN + 1)], f"item_id {kind}, off int, phrase string")
-    found = candidates(docs, phrases).groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "diagonals")).alias("items"))
-    weights = {i: [rare[t] for t in w] for i, w in of.items()}
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {kind}, share double, weight double, run_share double, first_word int"
+    rows = item_phrases(of)
+    phrases = docs.sparkSession.createDataFrame(rows, f"item_id {kind}, off int, phrase string, own boolean")
+    enough = docs.sparkSession.createDataFrame([(i, math.ceil(least * share * len(w) - 1e-9)) for i, w in of.items()], f"item_id {kind}, least int")
+    found = candidates(docs, phrases, enough).groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "diagonals")).alias("items"))
+    offsets: dict = {i: set() for i in of}
+    for i, o, _, is_own in rows:
+        if is_own:
+            offsets[i].add(o)
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {kind}, share double, own double, run_share double, first_word int"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -120,14 +137,14 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE, least: float
                 words = list(words)
                 for x in its:
                     i = x["item_id"]
-                    s, w, longest, at = _covered(words, of[i], weights[i], x["diagonals"])
-                    if s >= share and w >= least:
-                        out.append((doc, i, s, w, longest, at))
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "share", "weight", "run_share", "first_word"])
+                    s, own, longest, at = _covered(words, of[i], offsets[i], x["diagonals"])
+                    if s >= share and own >= least:
+                        out.append((doc, i, s, own, longest, at))
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "share", "own", "run_share", "first_word"])
 
     rows = docs.join(found, "doc_id").select("doc_id", terms(F.col("text")).alias("words"), "items")
     out = spread(rows).mapInPandas(run, schema)
-    best = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("share", "weight", "run_share", "first_word")).alias("m"))
+    best = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("share", "own", "run_share", "first_word")).alias("m"))
     return best.select("doc_id", "item_id", "m.*", (F.col("m.run_share") >= 1).alias("exact"))
 
 

@@ -348,6 +348,20 @@ def test_leaked_half_in_a_third_of_the_documents(spark):
     assert {(r.doc_id, r.item_id) for r in leaks.leaks(df, it).collect()} == {(i, 0) for i in range(0, 600, 3)}
 
 
+def test_leaked_half_with_changed_words(spark):
+    rng, items, other = half_leaks()
+    docs = []
+    for k in range(300):
+        w = items[k % 30][1].split()
+        at = rng.randrange(len(w) - 27 + 1)
+        part = w[at : at + 27]
+        for c in (6, 13, 20):
+            part[c] = "changed"
+        docs.append((k, f"{other(30)} {' '.join(part)} {other(30)}"))
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in leaks.leaks(df, it).collect()} == {(k, k % 30) for k in range(300)}
+
+
 # ---- 10: severity
 
 
