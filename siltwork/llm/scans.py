@@ -240,7 +240,7 @@ SCHEMA = "chunk_id string, noise array<string>, repaired string, joined int, cor
 def repair_chunks(df: DataFrame) -> DataFrame:
     """Per distinct (chunk_id, text) of the chunks the kinds of noise and the repaired text.
 
-    Counts of words, hashes and of words beside numbers cover all texts. Null and empty texts have no noise and stay as they
+    Counts of words and hashes cover all distinct texts, counts of words beside numbers all rows. Null and empty texts have no noise and stay as they
     are; null titles, chapters and pages only mean fewer headings to look for (chapters of the whole document are tried) or
     no page range; repeated rows give one row; columns beside the six used ones may have any name.
     """
@@ -249,7 +249,10 @@ def repair_chunks(df: DataFrame) -> DataFrame:
     )
     rows = cut(rows.withColumn("uid", F.xxhash64("chunk_id", "text")))
     read = cut(spread(rows.select("uid", "text", "title", "chapter", "chunk_id", "pages")).mapInPandas(_read, _WORDS))
-    counted = read.select(F.explode("words").alias("w")).select(F.lower("w").alias("word"), F.col("w").rlike("^[^A-Z]").cast("long").alias("small"))
+    # copies of a text under other ids, whatever their white space, carry no evidence: only the first of them is counted
+    first = cut(rows.groupBy(F.sha2(F.trim(F.regexp_replace("text", r"\s+", " ")), 256)).agg(F.min("uid").alias("uid")).select("uid"))
+    once = read.join(first, "uid", "left_semi")
+    counted = once.select(F.explode("words").alias("w")).select(F.lower("w").alias("word"), F.col("w").rlike("^[^A-Z]").cast("long").alias("small"))
     lexicon = cut(counted.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("small").alias("small")))
     right = cut(corrections(lexicon))
 

@@ -201,6 +201,13 @@ def test_scans(spark):
     assert scans.noise(df.limit(0)).count() == 0
 
 
+def test_copied_scan_is_no_evidence(spark):
+    clean = [(f"c{i}", f"Number {i} says that the membrane holds several channels and the membrane moves.") for i in range(10)]
+    copies = [(f"m{i}", "The membranc holds several" + ("\n" if i % 2 else " ") + "channels within.") for i in range(40)]
+    df = spark.createDataFrame([(i, "d", None, None, [], x, "") for i, x in clean + copies], CHUNK)
+    assert {(r.chunk_id, r.noise) for r in scans.noise(df).collect()} == {(i, "misread") for i, _ in copies}
+
+
 # ---- 6: near duplicates
 
 
