@@ -27,6 +27,8 @@ SIGNS = "015669@+("
 RATIO, SIGN_RATIO, LEAST = 5, 1, 3
 #: Frequent words up to this number (some 10 MB) are broadcast, more are joined by a shuffle.
 SMALL = 100_000
+#: A word belongs to numbers in the text if this share of the numbers beside it have a fraction and go with a small letter.
+BESIDE = 0.1
 _MARKS = "-­‐‑¬"
 _BROKEN = re.compile(rf"([^\W_]*[A-Za-z@+(][\w@+(]*)([{_MARKS}])(\s+)([\w@+(][\w@+(]*)")
 _TOKEN = re.compile(r"[^\s—–|/§~•­¬]+")
@@ -34,6 +36,7 @@ _EDGE = '.,;:?!"“”‘’\')]['
 _KEPT = {"and", "or", "to", "nor", "but"}
 _PAGE_ID = re.compile(r"_p(\d+)(?:-(\d+))?_")
 _MARKED = re.compile(r"(?<![\w.,])(?:[-~]\s(?P<a>\d{1,5})\s[-~]|•\s(?P<b>\d{1,5})|\[(?P<c>\d{1,5})\]|(?P<d>\d{1,5})\s\||pg?\.\s?(?P<e>\d{1,5})|page\s(?P<f>\d{1,5})(?:\sof\s\d{1,5})?)(?![\w.]\w|\w)", re.IGNORECASE)
+_DECIMAL = re.compile(r"(?<=\s)\d+\.\d+(?=\s+[a-z])")  # before a capital it numbers a section
 _BARE = re.compile(r"(?<![\w.,$-])\d{1,5}(?![\w]|[.,]\d)")
 _HEADING_SIGN = re.compile(r"(?:\bPart\s+[IVXL]+:\s+|\bCHAPTER\s+[A-Z]+\s+\|\s+|§\s+)(?:[A-Z][a-z]+\s+[A-Z][a-z]+)")
 _SECTION = re.compile(r"\d+(?:\.\d+)+\s*$")
@@ -84,7 +87,7 @@ def explains(wrong: str, right: str, depth: int = 2) -> bool:
     return False
 
 
-_WORDS = "uid long, words array<string>, joins array<struct<whole:string,left:string,mark:string,right:string>>"
+_WORDS = "uid long, words array<string>, joins array<struct<whole:string,left:string,mark:string,right:string>>, beside array<struct<next:boolean,word:string,decimal:boolean>>"
 
 
 def blanked(text: str, spans: list[tuple[int, int]]) -> str:
@@ -94,9 +97,19 @@ def blanked(text: str, spans: list[tuple[int, int]]) -> str:
     return text
 
 
+def beside(text: str) -> list[tuple[bool, str, bool]]:
+    """(whether it is the next, word, whether the number has a fraction) of the words before and after each number."""
+    out = []
+    for pattern, decimal in ((_DECIMAL, True), (_BARE, False)):
+        for m in pattern.finditer(text):
+            prv, nxt = text[: m.start()].rsplit(None, 1)[-1:], text[m.end() :].split(None, 1)[:1]
+            out += [(after, token_core(w[0]).lower(), decimal) for after, w in ((False, prv), (True, nxt)) if w]
+    return out
+
+
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        words, joins = [], []
+        words, joins, numbers = [], [], [beside(t) for t in b["text"]]
         for whole, title, chapter, chunk_id, pages in zip(b["text"], b["title"], b["chapter"], b["chunk_id"], b["pages"], strict=True):
             headers = headings_in(whole, [x for x in (title, chapter) if x])
             text = blanked(whole, headers + page_numbers(whole, page_range(chunk_id, pages), headers, None, None))
@@ -108,7 +121,7 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rest.append(text[at:])
             words.append([w for w in tokens(" ".join(rest)) if any(c.isalpha() for c in w)])
             joins.append([((x + y).lower(), x.lower(), mark, y.lower()) for _, _, x, mark, y in found])
-        yield pd.DataFrame({"uid": b["uid"], "words": words, "joins": joins})
+        yield pd.DataFrame({"uid": b["uid"], "words": words, "joins": joins, "beside": numbers})
 
 
 def corrections(lexicon: DataFrame, words: DataFrame | None = None) -> DataFrame:
@@ -240,7 +253,7 @@ SCHEMA = "chunk_id string, noise array<string>, repaired string, joined int, cor
 def repair_chunks(df: DataFrame) -> DataFrame:
     """Per distinct (chunk_id, text) of the chunks the kinds of noise and the repaired text.
 
-    Counts of words and hashes cover all distinct texts, counts of words beside numbers all rows. Null and empty texts have no noise and stay as they
+    Counts of words, hashes and of words beside numbers cover all distinct texts. Null and empty texts have no noise and stay as they
     are; null titles, chapters and pages only mean fewer headings to look for (chapters of the whole document are tried) or
     no page range; repeated rows give one row; columns beside the six used ones may have any name.
     """
@@ -256,10 +269,10 @@ def repair_chunks(df: DataFrame) -> DataFrame:
     lexicon = cut(counted.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("small").alias("small")))
     right = cut(corrections(lexicon))
 
-    # words next to numbers with a fraction, which are no page numbers; the frequent ones, of which there are at most 500 each
-    pair = rows.select(F.explode(F.regexp_extract_all("text", F.lit(r"(\S+\s+\d+\.\d+\s+[a-zA-Z]+)"), 1)).alias("p")).select(F.split(F.lower("p"), r"\s+").alias("p"))
-    often = lambda i: [r[0].rstrip(_EDGE) for r in pair.groupBy(F.col("p")[i].alias("w")).count().where("count > 2").orderBy(F.desc("count"), "w").limit(500).collect()]
-    after, before = set(often(2)), set(often(0))
+    # words next to numbers with a fraction, which are no page numbers, as a table joined to the texts whose numbers stand beside them
+    place = once.select(F.explode("beside").alias("p")).groupBy("p.next", "p.word").agg(F.avg(F.col("p.decimal").cast("double")).alias("share"))
+    place = read.select("uid", F.explode(F.array_distinct("beside")).alias("p")).where("not p.decimal").select("uid", "p.next", "p.word").join(place.where(F.col("share") >= BESIDE), ["next", "word"])
+    place = place.groupBy("uid").agg(F.collect_set(F.when(F.col("next"), F.col("word"))).alias("after"), F.collect_set(F.when(~F.col("next"), F.col("word"))).alias("before"))
 
     fix = read.select("uid", F.explode(F.array_distinct(F.transform("words", lambda w: F.lower(w)))).alias("word")).join(right.select("word", "right"), "word")
     fix = fix.groupBy("uid").agg(F.map_from_entries(F.collect_list(F.struct("word", "right"))).alias("right"))
@@ -279,7 +292,7 @@ def repair_chunks(df: DataFrame) -> DataFrame:
 
     chapters = df.where("chapter is not null").groupBy("document_id").agg(F.collect_set("chapter").alias("chapters"))
     titles = df.where("title is not null").groupBy("document_id").agg(F.collect_set("title").alias("titles"))
-    all_rows = rows.join(fix, "uid", "left").join(forms, "uid", "left").join(chapters, "document_id", "left").join(titles, "document_id", "left")
+    all_rows = rows.join(fix, "uid", "left").join(forms, "uid", "left").join(place, "uid", "left").join(chapters, "document_id", "left").join(titles, "document_id", "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -289,7 +302,7 @@ def repair_chunks(df: DataFrame) -> DataFrame:
                 as_dict = lambda x: {} if x is None else dict(x)
                 text, heads = r.text, sorted({x for x in [r.title, r.chapter, *as_list(r.chapters), *as_list(r.titles)] if x}, key=lambda x: (-len(x), x))
                 headers = headings_in(text, heads)
-                numbers = page_numbers(text, page_range(r.chunk_id, as_list(r.pages)), headers, after, before)
+                numbers = page_numbers(text, page_range(r.chunk_id, as_list(r.pages)), headers, set(as_list(r.after)), set(as_list(r.before)))
                 joined, fixes = as_dict(r.joined), as_dict(r.right)
                 whole = {(x + y).lower() for _, _, x, _, y in breaks(blanked(text, headers + numbers))}
                 joined = {k: v for k, v in joined.items() if k in whole}
@@ -299,7 +312,7 @@ def repair_chunks(df: DataFrame) -> DataFrame:
                 out.append((r.chunk_id, kinds, repair(text, headers, numbers, joined, fixes), len(joined), len(fixes), len(headers), len(numbers)))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    return spread(all_rows.select("chunk_id", "text", "title", "chapter", "pages", "chapters", "titles", "right", "joined")).mapInPandas(run, SCHEMA)
+    return spread(all_rows.select("chunk_id", "text", "title", "chapter", "pages", "chapters", "titles", "right", "joined", "after", "before")).mapInPandas(run, SCHEMA)
 
 
 def noise(df: DataFrame) -> DataFrame:

@@ -208,6 +208,14 @@ def test_copied_scan_is_no_evidence(spark):
     assert {(r.chunk_id, r.noise) for r in scans.noise(df).collect()} == {(i, "misread") for i, _ in copies}
 
 
+def test_words_beside_numbers_by_share(spark):
+    filler = lambda i: f"Sample {'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]} was kept. The membrane holds several channels. "
+    rows = [(f"n{i}", filler(i) + "The channels 7 move on.") for i in range(60)] + [(f"d{i}", filler(60 + i) + "The channels 12.5 move on.") for i in range(4)]
+    rows += [(f"h{i}", filler(70 + i) + f"It took {12.5 + i} hours.") for i in range(4)] + [("q", filler(80) + "It took 7 hours.")]
+    df = spark.createDataFrame([(i, "d", None, None, [7], x, "") for i, x in rows], CHUNK)
+    assert {(r.chunk_id, r.noise) for r in scans.noise(df).collect()} == {(f"n{i}", "page_number") for i in range(60)}
+
+
 # ---- 6: near duplicates
 
 
