@@ -7,6 +7,9 @@ import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siltwork.storage import remove
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,7 +38,39 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def discard(*done: DataFrame) -> None:
+    """Remove the files of tables that `cut` gave and that no later step reads; a table that isn't one is left alone."""
+    for df in done:
+        plan = df._jdf.queryExecution().logical()
+        if plan.nodeName().startswith("LogicalRDD") or "LogicalRDD" in plan.getClass().getName():
+            file = plan.rdd().getCheckpointFile()
+            if file.isDefined():
+                remove(df.sparkSession, file.get())
+
+
+#: Nodes of a plan that leave rows where they are.
+_NARROW = {"Project", "Filter", "Generate", "MapInPandas", "MapInArrow", "BatchEvalPython", "ArrowEvalPython", "SubqueryAlias", "Union"}
+
+
+def _narrow(plan: object) -> bool:
+    below = plan.children()
+    if below.size() == 0:
+        return True
+    return plan.nodeName() in _NARROW and all(_narrow(below.apply(i)) for i in range(below.size()))
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Shuffle rows round robin only where the scan has fewer partitions than the cluster has cores (Python stages)."""
+    """Shuffle rows round robin only where a scan has fewer partitions than the cluster has cores (Python stages).
+
+    Rows that come out of an exchange stay as they are: adaptive execution gives those as many partitions as there are cores, and
+    asking for their number would run everything beneath them once more.
+    """
+    if not _narrow(df._jdf.queryExecution().optimizedPlan()):
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(2 * cores)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A table that `cut` gave, marked for broadcast if it has at most `rows` rows; a larger one is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from siltwork.functions import text as T
 from siltwork.operators import curate, generate, pages, retrieve, tables, verify
 from siltwork.operators.ranking import sharded_rank
+from siltwork import runtime, storage
 from siltwork.streaming import reviews as log
 
 SPACES = "a\x0bb\x1cc\x85d e f \t\n g"
@@ -298,10 +299,46 @@ def test_log_in_batch_and_stream(spark, tmp_path):
     df = spark.createDataFrame(rows, "key string, seq int, v double")
     gone = F.col("v").isNull()
     assert {r.key for r in log.latest(df, "key", ["seq"], gone).collect()} == {"b", "c"}
-    src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
-    for part in (rows[1:2] + rows[2:3], rows[:1] + rows[3:4]):  # the older write of a comes late
+    src, out, cp = (f"file://{tmp_path / x}" for x in ("src", "out", "cp"))
+    for part in (rows[1:2] + rows[2:3], rows[:1] + rows[3:4], [("c", 8, 7.0)]):  # the older write of a comes late
         spark.createDataFrame(part, df.schema).write.mode("append").parquet(src)
         log.upserts(spark.readStream.schema(df.schema).parquet(src), out, cp, "key", ["seq"]).awaitTermination()
     assert {r.key for r in log.view(spark, out, gone).collect()} == {"b", "c"}
     p = log.progress(df, spark.createDataFrame([("b",), ("zz",)], "key string"), "key").first()
     assert (p.total, p.reviewed) == (4, 1)
+    assert log.progress(df, df.limit(0), "key", ["v"]).first().unscored == 1
+    bad = spark.createDataFrame([(9, 1.0)], "difficulty int, quality double")
+    with pytest.raises(Exception, match="whole number"):
+        log.checked(bad).collect()
+
+
+def test_spread_runs_nothing_and_cuts_are_removed(spark):
+    df = spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count()
+    done = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("spread", "spread")
+    runtime.spread(df)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not done.getJobIdsForGroup("spread")
+    assert runtime.spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() > 1
+    one = runtime.cut(df)
+    kept = runtime.cut(one.where("k > 2"))
+    file = one._jdf.queryExecution().logical().rdd().getCheckpointFile().get()
+    runtime.discard(one, df)
+    assert not storage.exists(spark, file) and kept.count() == 4
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark):
+    class Elsewhere:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Elsewhere()
+
+    with pytest.raises(RuntimeError, match="share"):
+        runtime.checkpoint_dir(Session())

@@ -50,19 +50,25 @@ def test_tables(spark, tmp_path):
     q = tmp_path / "q.csv"
     q.write_text('﻿Type,Category,Format,Question,W,X,Y,Z,Answer,Accept,Do Not Accept,Subcategory,Division (Approx)\nTossup,Biology,Short Answer,"What\nis it?",,,,,cell,"a; b",,,RR\nVisual Bonus,Bio,,x,,,,,y,,,,\nBonus,Earth and Space,Multiple Choice,Which?,p,q,r,s,X,,,Stars,playoff\n')
     rows = files.questions_from_tables(files.read_table(spark, str(q)), "set").orderBy("question_id").collect()
-    assert [(r.question_id, r.category, r.question_type, r.difficulty, r.answer_text) for r in rows] == [("set_0001", "biology", "tossup", 2, "ANSWER: cell"), ("set_0003", "earth_space", "bonus", 5, "ANSWER: X) q")]
+    assert [(r.question_id, r.category, r.question_type, r.difficulty, r.answer_text) for r in rows] == [("set_0001", "biology", "tossup", 3, "ANSWER: cell"), ("set_0002", "earth_space", "bonus", 3, "ANSWER: X) q")]
     assert rows[0].answer_guidance.accept == ["a", "b"] and rows[0].question_text == "What is it?" and rows[0].subcategory == "other"
-    qs = spark.createDataFrame([("q1", 1, "What  is IT?"), ("q2", 1, "what is it?")], "question_id string, source_row int, question_text string")
+    alone = files.questions_from_tables(files.read_table(spark, str(q)), "set", directory=False).orderBy("question_id").collect()
+    assert [(r.question_id, r.difficulty) for r in alone] == [("set_0001", 2), ("set_0003", 5)]
+    qs = spark.createDataFrame([("q9", 1, "What  is IT?", 0), ("q2", 1, "what is it?", 1), ("q3", None, "else", 6)], "question_id string, source_row int, question_text string, ordinal long")
     r = tmp_path / "r.csv"
     r.write_text("Source Row,Reviewer,Quality Rating,Difficulty Rating\n1,Alice,4,3\n")
     got = files.reviews_from_tables(files.read_table(spark, str(r)), qs).first()
     assert (got.question_id, got.reviewer_id, got.ratings.quality, got.ratings.difficulty) == ("q2", "alice", 4.0, 3.0)
-    r.write_text("Source Row,Reviewer,Quality Rating,Difficulty Rating\n7,Alice,4,3\n")
+    r.write_text("Source Row,Reviewer,Quality Rating,Difficulty Rating\n7,,,x\n")
+    got = files.reviews_from_tables(files.read_table(spark, str(r)), qs).first()
+    assert (got.question_id, got.reviewer_id, got.ratings.quality, got.ratings.difficulty) == ("q3", "reviewer_0001", None, None)
+    r.write_text("Source Row,Reviewer,Quality Rating,Difficulty Rating\n8,Alice,4,3\n")
     with pytest.raises(Exception, match="links to no question"):
         files.reviews_from_tables(files.read_table(spark, str(r)), qs).collect()
     s = tmp_path / "s.csv"
     s.write_text("Question,Quality,Difficulty\nWHAT is it?,1,9\nwhat is it?,,\n")
-    assert [tuple(x) for x in files.sheet_ratings(files.read_table(spark, str(s)), qs).collect()] == [("q2", 1.0, None)]
+    got = files.sheet_ratings(files.read_table(spark, str(s)), qs).collect()
+    assert [(x.question_id, x.ratings.quality, x.ratings.difficulty, x.metadata["sheet_row"]) for x in got] == [("q2", 1.0, None, "1")]
 
 
 def test_chunk_loader(spark, tmp_path):
