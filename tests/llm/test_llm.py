@@ -216,6 +216,25 @@ def test_words_beside_numbers_by_share(spark):
     assert {(r.chunk_id, r.noise) for r in scans.noise(df).collect()} == {(f"n{i}", "page_number") for i in range(60)}
 
 
+def test_header_that_no_metadata_names(spark):
+    text = lambda i: f"The membrane holds several channels of kind {'abcdefgh'[i]} and\n{'' if i > 4 else 'The  Wandering Physicist' if i else 'THE WANDERING PHYSICIST 12'}\nthe pendulum moves them."
+    rows = [(f"w{i}", "d", "Other Title", None, [], text(i)) for i in range(6)] + [("late", "d", "Other Title", None, [], "The membrane THE WANDERING PHYSICIST holds several."), ("else", "e", None, None, [], text(1).replace("kind", "sort"))]
+    df = spark.createDataFrame([(*r, "") for r in rows], CHUNK)
+    assert {r.chunk_id for r in scans.noise(df).collect() if r.noise == "running_header"} == {"w0", "w1", "w2", "w3", "w4", "late"}
+
+
+def test_long_text_is_read_in_linear_time():
+    from time import time
+
+    lay = lambda n: scans.Layout("The word 123 was hyphen- ated and 7 more. " * n)
+    took = []
+    for n in (6000, 24000):
+        began, one = time(), lay(n)
+        scans.page_numbers(one, (7, 7), []), scans.beside(one), scans.breaks(one.text), scans.repair(one.text, [], scans.page_numbers(one, None, [])[0], {"hyphenated": ""}, {})
+        took.append(time() - began)
+    assert took[1] < 8 * took[0] and took[1] < 6
+
+
 # ---- 6: near duplicates
 
 
