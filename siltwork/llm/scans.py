@@ -30,8 +30,9 @@ RATIO, LEAST = 5, 3
 SMALL = 100_000
 #: A word belongs to numbers in the text if this share of the numbers beside it have a fraction and go with a small letter.
 BESIDE = 0.1
-#: A line that stands in so many distinct texts of a document is a running header; shorter headings than SHORT letters count only alone on a line.
-RECURS, SHORT = 3, 6
+#: A line that stands in so many distinct texts of a document, and in this share of them, is a running header; shorter headings than SHORT
+#: letters count only alone on a line.
+RECURS, RECURS_SHARE, SHORT = 3, 0.02, 6
 _MARKS = "-­‐‑¬"
 _GAP = re.compile(rf"[{_MARKS}]\s+")
 _LEFT, _RIGHT = re.compile(r"[^\W_]*[A-Za-z@+(][\w@+(]*$"), re.compile(r"[\w@+(]+")
@@ -145,16 +146,16 @@ def beside(lay: Layout) -> list[tuple[bool, str, bool]]:
 
 
 def header_lines(lay: Layout) -> list[str]:
-    """Letters of the lines of a text of several that may be headers: short, without a sentence's end, its longer words in capitals."""
+    """Words of the lines of a text of several that may be headers: two to ten, without a sentence's end, the longer ones in capitals."""
     out = set()
     if lay.ends:
         for line in lay.text.splitlines():
             words = re.findall(r"[^\W\d_]+", _MARKED.sub("", line))
             s = line.strip()
-            if 1 <= len(words) <= 10 and not re.search(r"[.!?,;:\-]$", s) and not re.match(r"\W*\d+(?:\.\d+)+", s) and (s.isupper() or all(w[0].isupper() for w in words if len(w) > 3)):
-                letters = "".join(words).lower()
-                if len(letters) >= 3:
-                    out.add(letters)
+            if 2 <= len(words) <= 10 and not re.search(r"[.!?,;:\-]$", s) and not re.match(r"\W*\d+(?:\.\d+)+", s) and (s.isupper() or all(w[0].isupper() for w in words if len(w) > 3)):
+                line = " ".join(words).lower()
+                if len(line) > SHORT:
+                    out.add(line)
     return sorted(out)
 
 
@@ -362,7 +363,8 @@ class Evidence:
         # lines that recur in a document, however it calls them
         lines = once.where("document_id is not null").select("document_id", F.explode("lines").alias("line"))
         lines = lines.groupBy("document_id", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= RECURS)
-        self.recurring = cut(lines.select("document_id", "line"))
+        texts = once.where(F.size("lines") > 0).groupBy("document_id").agg(F.count(F.lit(1)).alias("of"))
+        self.recurring = cut(lines.join(texts, "document_id").where(F.col("n") >= F.col("of") * RECURS_SHARE).select("document_id", "line"))
         mine = self.read.where("document_id is not null").select("uid", "document_id", F.explode("lines").alias("line"))
         self.lines = mine.join(small(self.recurring, SMALL), ["document_id", "line"]).select("uid", "line")
 
@@ -384,8 +386,8 @@ class Evidence:
 
     def unnamed(self) -> DataFrame:
         """(document_id, heads) of recurring lines that no title or chapter of the document names."""
-        letters = F.lower(F.regexp_replace("h", r"[^\p{L}]+", ""))
-        named = self.heads.select("document_id", F.explode("heads").alias("h")).select("document_id", letters.alias("line")).distinct()
+        plain = F.trim(F.lower(F.regexp_replace("h", r"[^\p{L}]+", " ")))
+        named = self.heads.select("document_id", F.explode("heads").alias("h")).select("document_id", plain.alias("line")).distinct()
         return self.recurring.join(named, ["document_id", "line"], "left_anti").groupBy("document_id").agg(F.collect_set("line").alias("heads"))
 
 
