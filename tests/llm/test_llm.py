@@ -147,7 +147,7 @@ def test_splits(spark):
 REVIEW = "review_id string, question_id string, reviewer_id string, review_timestamp timestamp, ratings struct<quality:double,difficulty:double>, loaded_at timestamp, item string"
 
 
-def test_consensus(spark):
+def test_consensus(spark, monkeypatch):
     rng = random.Random(4)
     truth = {f"q{i}": (rng.choice([-1, 0, 1]), rng.randint(1, 7)) for i in range(120)}
     rows = []
@@ -169,6 +169,13 @@ def test_consensus(spark):
     assert np.mean([abs(c[q].quality - a) for q, (a, _) in truth.items()]) < 0.4
     assert all(r.difficulty_agreement <= 1 for r in c.values())
     assert consensus.unrelated(df.limit(0)).count() == 0
+    # joined parameters give what sent ones do; questions in several blocks about what whole ones do
+    sent, joined = ({r.reviewer_id: r.tilting_quality for r in consensus.reliability(df, 3, n).collect()} for n in (consensus.SENT, 0))
+    assert sent.keys() == joined.keys() and all(abs(sent[k] - joined[k]) < 1e-6 for k in sent)
+    monkeypatch.setattr(consensus, "BLOCK", 4)
+    assert {r.reviewer_id for r in consensus.unrelated(df).collect()} == {"random", "against", "constant"}
+    again = {r.question_id: r for r in consensus.consensus(df).collect()}
+    assert again.keys() == c.keys() and np.mean([abs(again[q].difficulty - c[q].difficulty) for q in c]) < 0.25
 
 
 # ---- 5: scans
