@@ -97,7 +97,7 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     s = severity.score(table(spark, d, "documents"), table(spark, d, "doc_flags"))
-    return s.where((F.col("probability") >= severity.CUTOFF) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    return s.where(F.col("flagged") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
 def p10_scores(spark: SparkSession, d: str) -> DataFrame:

@@ -18,27 +18,15 @@ from pyspark.sql import functions as F
 
 from siltwork.runtime import spread
 
-#: Flagged documents that the regression is fitted on at most (those of the lowest hashes of their ids), and
-#: documents without flags that stand in as ok, their weight, hashed features (as a power of two), passes.
-TRAIN_ROWS, BACKGROUND_ROWS, BACKGROUND_WEIGHT, BITS, PASSES = 8000, 6000, 0.25, 16, 120
+#: Flagged documents that the regression is fitted on at most (those of the lowest hashes of their ids), hashed features (as a power of
+#: two), turns of choosing sentences and steps of the regression in each.
+TRAIN_ROWS, BITS, TURNS, STEPS = 8000, 20, 6, 25
 GRADES = 4
-CUTOFF = 0.4
-
-#: Words by kind, in the languages of the corpus, spelled without doubled letters as `fold` makes them.
-ABUSE = """idiot idiots moron morons stupid dumb dumbas imbecile cretin halfwit dimwit twit nitwit fool loser losers scum scumbag trash garbage pathetic worthles useles brainles spineles bastard bitch ashole jackas
-dickhead prick fuck fucking fucked fucker motherfucker shit shity bulshit crap piss goddamn damn clown rat rats pig pigs leech failure nobody coward creep freak retard retarded disgusting disgrace ugly lying
-idiota imbecil imbécil estupido estúpido tonto cállate basura gilipolas asco mierda puta maldito inútil asqueroso idiote crétin conard connard abruti salaud merde ordure débile nul pute tais dégueulase imbécile
-trotel dumkopf arschloch scheise miststück widerlicher idioten hurensohn halt maul abschaum versager lixo burro nojento otário porcaria inútil cala stupido stronzo cretino deficiente schifo merda cogline imbecile zitto
-идиот дурак тупица тварь сволочь мразь заткнись дебил ублюдок ничтожество урод 白痴 笨蛋 蠢货 垃圾 闭嘴 滚 废物 傻瓜""".split()
-HATE = """vermin subhuman subhumans filth filthy parasites cockroaches exterminate exterminated deport deported degenerate savages inferior infest infested thieves purge lynch gas driven crawled ship blood breed stupid
-alimañas ratas parásitos inferiores vermine parasites raus ungeziefer untermenschen parasiten vermes parasitas parassiti feccia твари паразиты нелюди 害虫 劣等""".split()
-SEXUAL = """porn porno xxx sex sexy nude nudes naked horny orgasm orgasms escort escorts erotic cum cock dick pusy tits boobs breasts blowjob anal oral masturbate hardcore milf slut sluts whore whores stripping strip climax moan moaning
-desnuda desnudas sexo coños tetas porno chicas caliente nue nues sexe seins salope nackt nackte titen geile ficken nuas pelada gostosa safada nuda nude tete troia голая голые секс порно шлюха 色情 裸体 做爱 性爱""".split()
-THREAT = "kill die dead burn hang shoot stab slap punch beat hurt bury cages strangle muérete mueras muere crève crever stirb verrecke morra morrer muori crepa сдохни умри убью 去死 杀".split()
-REPORT = """word term label insult quoted quote noted reported report study studies research researchers historian historians history century law court moderator removed lesson chapter essay propaganda newspaper leaflet slur slurs clinic clinical
-species anatomy reproduction reproductive medical health disease dictionary linguists linguist novel film test scientists biologists etymology defined means described""".split()
-SECOND = "you your you're yours yourself u ur tu te ti eres usted vous toi es du dich dir dein deine seu sua você voce sei ты тебя тебе вы 你 你们".split()
-SELF = "my myself i i'm i've mi yo je mein ich meu eu mio io я мой моя 我".split()
+#: A flag, one of ok, is taken as wrong if a regression fitted on the other half of the flagged documents is so sure of the opposite.
+WRONG, WRONG_OK = 0.05, 0.2
+#: A sentence is looked at closely if a word, pair or run of it is in so many more flagged documents than chance has it, in standard
+#: deviations, and so many times (as a logarithm) as frequent there as in those that are ok; and documents that have a feature at least.
+SUSPECT, ODDS, LEAST = 3.5, 1.2, 4
 
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？])|[\r\n]+")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ ._\-*]{1,2}){2,}[^\W\d_](?![^\W_])")
@@ -57,10 +45,6 @@ def fold(w: str) -> str:
     return re.sub(r"(.)\1+", r"\1", w)
 
 
-KINDS = {k: {fold(x) for x in v} for k, v in (("abuse", ABUSE), ("hate", HATE), ("sexual", SEXUAL), ("threat", THREAT), ("report", REPORT), ("second", SECOND), ("self", SELF))}
-_SKELETONS = {w[:i] + "*" + w[i + 1 :]: w for k in ("abuse", "hate", "sexual") for w in KINDS[k] if len(w) >= 4 for i in range(1, len(w) - 1)}
-
-
 def plain(text: str) -> str:
     """Without what hides words: invisible characters, letters set apart, look-alike widths."""
     t = unicodedata.normalize("NFKC", _INVISIBLE.sub("", text))
@@ -68,8 +52,8 @@ def plain(text: str) -> str:
 
 
 def tokens(sentence: str) -> list[str]:
-    """Folded words; digits and signs within a word are read as the letters they stand for, a star as the letter that makes a listed word."""
-    s = re.sub(r"(?<=[A-Za-z])[@$](?=[A-Za-z])|(?<=[A-Za-z])\*(?=[A-Za-z])", lambda m: {"@": "a", "$": "s"}.get(m[0], "*"), sentence)
+    """Folded words; digits and signs within a word are read as the letters they stand for, and a star as any letter."""
+    s = re.sub(r"(?<=[A-Za-z])[@$](?=[A-Za-z])", lambda m: {"@": "a", "$": "s"}[m[0]], sentence)
     out = []
     for w in _TOKEN.findall(s):
         if any("぀" <= c <= "鿿" for c in w):
@@ -81,8 +65,7 @@ def tokens(sentence: str) -> list[str]:
             continue
         if any(c.isdigit() for c in low):
             low = low.translate(_LEET) if sum(c.isalpha() for c in low) >= 2 else "#"
-        low = fold(low)
-        out.append(_SKELETONS.get(low, low.replace("*", "")) if "*" in low else low)
+        out.append(fold(low))
     return out
 
 
@@ -90,88 +73,117 @@ def sentences(text: str | None) -> list[list[str]]:
     return [t for t in (tokens(s) for s in _SENTENCE.split(plain(text or ""))) if t]
 
 
-_DENSE = 24
-
-
-def features(words: list[str]) -> list[int]:
-    """Indices of the present features of a sentence: kinds of words and their combinations, then hashed words, pairs and skips."""
-    has = [k for k, w in KINDS.items() if any(x in w for x in words)]
-    order = list(KINDS)
-    out = [0, *[1 + order.index(k) for k in has]]
-    bad = [k for k in has if k in ("abuse", "hate", "sexual", "threat")]
-    if bad:
-        for j, k in enumerate(("second", "report", "self")):
-            if k in has:
-                out.append(8 + j)
-        if not {"report", "self"} & set(has):
-            out.append(11)
-        out.append(12 + min(3, sum(x in KINDS[k] for x in words for k in bad)))
-    if words[0] == "the" or words[0] == "a":
-        out.append(16)
-    size, crc = 1 << BITS, zlib.crc32
-    seen = set()
-    last, before = "^", "^"
-    for w in words:
+_SIZE = 1 << BITS
+
+
+_CODES: dict[str, tuple[int, bytes, bytes]] = {}
+
+
+def _codes(w: str) -> tuple[int, bytes, bytes]:
+    got = _CODES.get(w)
+    if got is None:
+        if len(_CODES) >= 1 << 16:
+            _CODES.clear()
         e = w.encode()
-        seen.add(crc(e) % size)
-        seen.add(crc(last.encode() + b" " + e) % size)
-        seen.add(crc(before.encode() + b" _ " + e) % size)
-        before, last = last, w
-    return out + [_DENSE + x for x in seen]
+        got = _CODES[w] = (zlib.crc32(e), b" " + e, b" _ " + e)
+    return got
 
 
-class Ordinal:
-    """P(grade > k) = s(w x - b_k), b_0 <= b_1 <= b_2; a document is its worst sentence."""
+def words_and_pairs(words: list[str]) -> list[int]:
+    """Hashed words, pairs and pairs with one word between."""
+    crc, out = zlib.crc32, set()
+    last = before = zlib.crc32(b"^")
+    for w in words:
+        own, pair, skip = _codes(w)
+        out.add(own % _SIZE)
+        out.add(crc(pair, last) % _SIZE)
+        out.add(crc(skip, before) % _SIZE)
+        before, last = last, own
+    return list(out)
 
-    def __init__(self, w: np.ndarray | None = None, b: np.ndarray | None = None) -> None:
-        self.w = np.zeros(_DENSE + (1 << BITS)) if w is None else w
-        self.b = np.array([1.0, 1.5, 2.5]) if b is None else b
 
-    def start(self) -> Ordinal:
-        """Kinds of words as a first guess, so that the first choice of worst sentences isn't blind."""
-        self.w[1:5], self.w[5], self.w[8:11], self.w[11] = 0.8, -0.5, (0.5, -0.7, -0.7), 0.5
-        return self
+def runs(words: list[str]) -> list[int]:
+    """Hashed runs of four characters of the words with their ends marked, so that spellings of one word share most of them."""
+    crc, out = zlib.crc32, set()
+    for w in set(words):
+        m = f"<{w}>"
+        for i in range(max(1, len(m) - 3)):
+            out.add(crc(b"~" + m[i : i + 4].encode()) % _SIZE)
+    return list(out)
+
 
-    def latent(self, docs: list[list[list[int]]]) -> list[np.ndarray]:
-        return [np.array([self.w[i].sum() for i in d]) for d in docs]
-
-    def fit(self, docs: list[list[np.ndarray]], grades: np.ndarray, weight: np.ndarray, passes: int = PASSES, rate: float = 0.05, decay: float = 8.0, trim: float = 0.9, least: int = 3) -> Ordinal:
-        flat = [s for d in docs for s in d]
-        idx, sizes = np.concatenate(flat), np.array([len(s) for s in flat])
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        of = np.array([len(d) for d in docs])
-        first = np.concatenate([[0], np.cumsum(of)[:-1]])
-        owner = np.repeat(np.arange(len(docs)), of)
-        # features of too few documents teach nothing that holds elsewhere
-        seen = np.unique(np.stack([np.repeat(owner, sizes), idx]), axis=1)[1]
-        common = np.bincount(seen, minlength=len(self.w)) >= (2 if len(docs) < 500 else least)
-        common[:_DENSE] = True
-        self.w *= common
-        keep, at = common[idx], np.repeat(np.arange(len(flat)), sizes)
-        idx, sizes = idx[keep], np.bincount(at[keep], minlength=len(flat))  # feature 0 is in every sentence, so none is left empty
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+def features(words: list[str]) -> np.ndarray:
+    return np.unique(np.array(words_and_pairs(words) + runs(words), dtype=np.int64))
+
+
+class Ordinal:
+    """P(grade > k) = s(w x - b_k), b_0 <= b_1 <= b_2, with one weight vector; a document is its worst sentence.
+
+    Weights start at zero and decay to zero. All that is known of words comes from the flags. `suspect` says which words and pairs make a
+    sentence worth looking at; the other sentences have a latent value of 0.
+    """
+
+    def __init__(self, w: np.ndarray | None = None, b: np.ndarray | None = None, suspect: np.ndarray | None = None, cutoff: float = 0.5) -> None:
+        self.w = np.zeros(_SIZE, dtype=np.float32) if w is None else w
+        self.b = np.array([3.0, 3.3, 4.5]) if b is None else b
+        self.suspect = np.zeros(_SIZE, dtype=bool) if suspect is None else suspect
+        self.cutoff = cutoff
+
+    def telling(self, docs: list[list[np.ndarray]], grades: np.ndarray, least: float) -> np.ndarray:
+        """How many times, as a logarithm, each feature is as frequent in flagged documents as in others; 0 if that may be chance."""
+        n, bad = np.zeros(_SIZE), np.zeros(_SIZE)
+        for d, y in zip(docs, grades, strict=True):
+            f = np.unique(np.concatenate(d))
+            n[f] += 1
+            bad[f] += y > 0
+        base = (grades > 0).mean()
+        excess = (bad - n * base) / np.sqrt(np.maximum(n * base * (1 - base), 1e-9))
+        odds = np.log((bad + 0.1) / (base * len(docs) + 1)) - np.log((n - bad + 0.1) / ((1 - base) * len(docs) + 1))
+        return np.where((excess >= least) & (odds >= ODDS), odds, 0.0)
+
+    def fit(self, docs: list[list[list[str]]], grades: np.ndarray, suspect: float = SUSPECT, least: int = LEAST, decay: float = 4.0, rate: float = 0.5, trim: float = 0.9) -> Ordinal:
+        light = [[np.array(words_and_pairs(s)) for s in d] for d in docs]
+        odds = self.telling(light, grades, suspect)
+        self.suspect = odds > 0
+        # the first guess of a document's worst sentence is that of the most telling words; a flag that no sentence explains is left out
+        flat, owner, first, plain = [], [], [], 0
+        for i, d in enumerate(light):
+            for j, s in enumerate(d):
+                if self.suspect[s].any():
+                    flat.append(features(docs[i][j]))
+                    owner.append(i)
+                    first.append(float(odds[s].max()))
+                else:
+                    plain += grades[i] == 0
+        if not flat:
+            return self
+        owner, sizes = np.array(owner), np.array([len(s) for s in flat])
+        idx, starts = np.concatenate(flat), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        used, idx = np.unique(idx, return_inverse=True)
+        # a feature of few documents teaches nothing that holds elsewhere
+        seen = np.bincount(np.unique(np.stack([np.repeat(owner, sizes), idx]), axis=1)[1], minlength=len(used)) >= least
+        heads = np.searchsorted(owner, np.unique(owner))
+        w, b, norm = np.zeros(len(used)), self.b.copy(), np.full(len(used), 1e-3)
         above = (grades[:, None] > np.arange(GRADES - 1)[None, :]).astype(float)
-        # steps in proportion to the root of the documents that have a feature, so that rare ones move slowly
-        scale = rate / np.sqrt(np.maximum(np.bincount(seen, minlength=len(self.w)), 1.0))
-        speed, prior = np.zeros_like(self.w), self.w.copy()
-        for p in range(passes):
-            score = np.add.reduceat(self.w[idx], starts)
-            top = np.flatnonzero(score == np.maximum.reduceat(score, first)[owner])
+        score, at = np.array(first), np.repeat(np.arange(len(flat)), sizes)
+        for turn in range(TURNS):
+            top = np.flatnonzero(score == np.maximum.reduceat(score, heads)[np.searchsorted(owner[heads], owner)])
             worst = top[np.unique(owner[top], return_index=True)[1]]
-            gap = above - 1 / (1 + np.exp(-np.clip(score[worst][:, None] - self.b[None, :], -30, 30)))
-            # some flags are wrong, some documents without are not ok: from a third of the passes on, what is far on the wrong side hardly pulls
-            g = gap * np.where((np.abs(gap) > trim) & (p > passes // 3), 0.05, 1.0) * weight[:, None]
-            pull = np.zeros(len(flat))
-            pull[worst] = g.sum(axis=1)
-            # the other sentences of ok documents are ok as well
-            other = (grades[owner] == 0) & (score > self.b[0] - 3)
-            other[worst] = False
-            late = 1 / (1 + np.exp(-np.clip(score[other] - self.b[0], -30, 30)))
-            pull[other] -= late * np.where((late > trim) & (p > passes // 3), 0.05, 1.0) * weight[owner[other]]
-            grad = np.bincount(idx, weights=np.repeat(pull, sizes), minlength=len(self.w)) - decay * (self.w - prior)
-            speed = 0.8 * speed + scale * grad * common
-            self.w += speed
-            self.b = np.maximum.accumulate(self.b - 0.5 * g.sum(axis=0) / weight.sum())
+            taken = grades[owner] == 0  # every sentence of a document that is ok is ok
+            taken[worst] = True
+            y = above[owner]
+            for _ in range(STEPS):
+                score = np.add.reduceat(w[idx], starts)
+                gap = y - 1 / (1 + np.exp(-np.clip(score[:, None] - b, -30, 30)))
+                # some flags are wrong: from the third turn on, what is far on the wrong side hardly pulls
+                gap *= np.where((np.abs(gap) > trim) & (turn >= 2), 0.05, 1.0) * taken[:, None]
+                grad = np.bincount(idx, weights=gap.sum(axis=1)[at], minlength=len(used)) * seen - decay * w
+                norm += grad**2
+                w += rate * grad / np.sqrt(norm)
+                rest = plain / (1 + np.exp(b))  # what the sentences without a suspect word add, whose latent value is 0
+                b = np.maximum.accumulate(b - 2 * (gap.sum(axis=0) - rest) / taken.sum())
+            score = np.add.reduceat(w[idx], starts)
+        self.w[used], self.b = w, b
         return self
 
     def doc(self, text: str | None) -> tuple[float, float]:
@@ -179,11 +191,24 @@ class Ordinal:
         words = sentences(text)
         if not words:
             return 0.0, 0.0
-        z = max(float(self.w[features(s)].sum()) for s in words)
+        z = 0.0
+        for s in words:
+            light = words_and_pairs(s)
+            if self.suspect[light].any():
+                z = max(z, float(self.w[features(s)].sum()))
         p = 1 / (1 + np.exp(-np.clip(z - self.b, -30, 30)))
         return float(p[0]), float(p.sum())
 
 
+def best_cutoff(p: np.ndarray, bad: np.ndarray, slack: float = 0.005) -> float:
+    """The middle of the probabilities at which a cut comes within `slack` of the greatest F1, as a few flags are wrong; 0.5 where nothing is flagged."""
+    if not bad.any():
+        return 0.5
+    grid = np.linspace(0.05, 0.95, 91)
+    f = np.array([2 * (bad & (p >= c)).sum() / max(1, bad.sum() + (p >= c).sum()) for c in grid])
+    return float(np.mean(grid[f >= f.max() - slack]))
+
+
 def grades(flags: DataFrame) -> DataFrame:
     """(doc_id, grade): 0 ok, 1 flags that disagree, 2 abusive, 3 hateful or sexual; unknown flags and null ids are left out."""
     f = F.lower(F.trim("flag"))
@@ -192,39 +217,50 @@ def grades(flags: DataFrame) -> DataFrame:
     return g.select("doc_id", F.when((F.col("lo") == 0) & (F.col("hi") > 0), 1).otherwise(F.col("hi")).alias("grade"))
 
 
-def fit(docs: DataFrame, flags: DataFrame, rows: int = TRAIN_ROWS, background: int = BACKGROUND_ROWS) -> Ordinal:
-    """Fitted on at most `rows` flagged documents and `background` others; without flags only the kinds of words count."""
+def train(rows: list[tuple[str, int, bool]]) -> Ordinal:
+    """Fitted on (text, grade, half): each half is judged by a regression fitted on the other, which shows the wrong flags and
+    gives the cut-off on documents that it wasn't fitted on; the last fit is on all whose flag stands."""
+    data = sorted((t, y, h, sentences(t)) for t, y, h in rows)
+    data = [x for x in data if x[3]]
+    fitted = lambda part, **of: Ordinal().fit([x[3] for x in part], np.array([x[1] for x in part]), **of) if {x[1] > 0 for x in part} == {True, False} else Ordinal()
+    # a half has half the documents for each feature
+    by_other = [fitted([x for x in data if x[2] != h], suspect=SUSPECT / 2**0.5, least=LEAST // 2) for h in (False, True)]
+    p, bad = np.array([by_other[x[2]].doc(x[0])[0] for x in data]), np.array([x[1] > 0 for x in data], dtype=bool)
+    stands = ~((bad & (p < WRONG)) | (~bad & (p > 1 - WRONG_OK)))
+    model = fitted([x for x, k in zip(data, stands, strict=True) if k])
+    model.cutoff = best_cutoff(p[stands], bad[stands])
+    return model
+
+
+def fit(docs: DataFrame, flags: DataFrame, rows: int = TRAIN_ROWS) -> Ordinal:
+    """Fitted on at most `rows` flagged documents; without flags of both sides every document scores as if ok."""
     g = grades(flags).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    got = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(g), "doc_id").select("text", "grade").distinct().collect()
-    rest = docs.where("text is not null and doc_id is not null").select("doc_id", "text").join(flags.select("doc_id"), "doc_id", "left_anti")
-    rest = rest.orderBy(F.xxhash64("doc_id"), "doc_id").limit(background).select("text").distinct().collect()
-    data = sorted([(r.text, r.grade, 1.0) for r in got] + [(r.text, 0, BACKGROUND_WEIGHT) for r in rest])
-    parsed = [([np.array(features(s)) for s in sentences(t)], y, k) for t, y, k in data]
-    parsed = [x for x in parsed if x[0]]
-    model = Ordinal().start()
-    return model.fit([d for d, _, _ in parsed], np.array([y for _, y, _ in parsed]), np.array([k for _, _, k in parsed])) if got and parsed else model
+    half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0
+    got = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(g), "doc_id").select("text", "grade", half.alias("half")).distinct().collect()
+    return train([(r.text, r.grade, r.half) for r in got])
 
 
 def score(docs: DataFrame, flags: DataFrame) -> DataFrame:
-    """(doc_id, source, probability, severity) of every row of the documents.
+    """(doc_id, source, probability, severity, flagged) of every row of the documents.
 
-    Severity is the expected grade, 0 to 3. Null, empty and blank texts have 0 for both; whole texts are read, sentence by
-    sentence, in any language; copies get equal scores, and columns beside doc_id, source and text may have any name.
+    Severity is the expected grade, 0 to 3; `flagged` is a probability at or above the cut-off that held-out flags chose. Null, empty
+    and blank texts have 0 for both; whole texts are read, sentence by sentence, in any language; copies get equal scores, and columns
+    beside doc_id, source and text may have any name.
     """
     model = fit(docs, flags)
-    w, b = docs.sparkSession.sparkContext.broadcast(model.w.astype(np.float32)), model.b  # 0.3 MB, fixed by BITS
+    w, b, cutoff = docs.sparkSession.sparkContext.broadcast((model.w, np.packbits(model.suspect))), model.b, model.cutoff  # 4 MB, fixed by BITS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Ordinal(w.value, b)
+        own = Ordinal(w.value[0], b, np.unpackbits(w.value[1]).astype(bool))
         for part in batches:
             s = [own.doc(t) for t in part["text"]]
-            yield pd.DataFrame({"doc_id": part["doc_id"], "source": part["source"], "probability": [p for p, _ in s], "severity": [v for _, v in s]})
+            yield pd.DataFrame({"doc_id": part["doc_id"], "source": part["source"], "probability": [p for p, _ in s], "severity": [v for _, v in s], "flagged": [p >= cutoff for p, _ in s]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return spread(docs.select("doc_id", "source", "text")).mapInPandas(run, f"doc_id {kind}, source string, probability double, severity double")
+    return spread(docs.select("doc_id", "source", "text")).mapInPandas(run, f"doc_id {kind}, source string, probability double, severity double, flagged boolean")
 
 
-def rates(docs: DataFrame, flags: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """Per source the documents, those at or above the cutoff, their share and the mean severity; a null source is one of its own."""
-    s = score(docs, flags).groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum((F.col("probability") >= cutoff).cast("long")).alias("flagged"), F.avg("severity").alias("mean_severity"))
+def rates(docs: DataFrame, flags: DataFrame) -> DataFrame:
+    """Per source the documents, those that are flagged, their share and the mean severity; a null source is one of its own."""
+    s = score(docs, flags).groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.col("flagged").cast("long")).alias("flagged"), F.avg("severity").alias("mean_severity"))
     return s.withColumn("rate", F.col("flagged") / F.col("documents"))

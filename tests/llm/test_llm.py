@@ -408,20 +408,27 @@ def test_leaked_half_with_changed_words(spark):
 
 def test_plain_spelling():
     words = lambda s: [w for t in severity.sentences(s) for w in t]
-    assert words("f i l t h") == ["filth"] and words("lo​ser") == ["loser"] and words("nud3") == ["nude"] and words("shittttty") == ["shity"] and words("ver*in") == ["vermin"]
+    assert words("f i l t h") == ["filth"] and words("lo​ser") == ["loser"] and words("nud3") == ["nude"] and words("shittttty") == ["shity"]
     assert words("p-i-g-s") == ["pigs"] and words(None) == [] and words(" \n ") == []
+    assert len(set(severity.runs(["verminous"])) & set(severity.runs(["vermin"]))) >= 4
+
+
+def test_cutoff_and_wrong_flags():
+    p, bad = np.array([0.9, 0.8, 0.7, 0.2, 0.1, 0.0]), np.array([True, True, True, False, False, False])
+    assert 0.2 < severity.best_cutoff(p, bad) <= 0.7 and severity.best_cutoff(p, bad & False) == 0.5
+    assert severity.train([]).doc("You are a pest.")[0] < 0.1  # without flags nothing is known
 
 
 def test_severity(spark):
     rng = random.Random(10)
     names = ["prism", "lens", "muon", "larva", "codon"]
     neutral = lambda: rng.choice(["The {0} bends the {1} slowly.", "Students compare the {0} with the {1}.", "My notes say the {0} traps the {1}."]).format(rng.choice(names), rng.choice(names))
-    bad = lambda: rng.choice(["You are a stupid {0}, get lost.", "Shut up, you pathetic idiot of a {0}.", "Those people are vermin and should be driven out of {0}."]).format(rng.choice(names))
+    bad = lambda seen: rng.choice(["You are a stupid {0}, get lost.", "Shut up, you pathetic idiot of a {0}.", "Those people are vermin and should be driven out of {0}."] if seen else ["Get lost, you stupid {0} of a pathetic team.", "The {0} people are vermin, shut up."]).format(rng.choice(names))
     report = lambda: rng.choice(["The word idiot was once a clinical term, the {0} survey notes.", "My own answer on the {0} was stupid."]).format(rng.choice(names))
     docs, flags, truth = [], [], {}
     for i in range(300):
         kind = i % 5
-        parts = [neutral() for _ in range(4)] + ([bad()] if kind == 0 else [report()] if kind == 1 else [])
+        parts = [neutral() for _ in range(4)] + ([bad(i < 200)] if kind == 0 else [report()] if kind == 1 else [])
         rng.shuffle(parts)
         docs.append((i, " ".join(parts), f"s{i % 3}", "x"))
         truth[i] = kind == 0
@@ -431,7 +438,7 @@ def test_severity(spark):
     docs += [(1000, None, "s0", ""), (1001, "", None, ""), (1002, "word " * 20000, "s0", "")]
     d = spark.createDataFrame(docs, "doc_id long, text string, source string, severity string")
     f = spark.createDataFrame(flags, "doc_id long, flag string")
-    got = {r.doc_id: r.probability >= severity.CUTOFF for r in severity.score(d, f).collect()}
+    got = {r.doc_id: r.flagged for r in severity.score(d, f).collect()}
     held_out = [i for i in truth if i >= 200]
     assert np.mean([got[i] == truth[i] for i in held_out]) >= 0.97
     assert not got[1000] and not got[1001] and len(got) == len(docs)
