@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.operators.ranking import sharded_rank
+from siltwork.runtime import cut
 
 
 def plain(c: Column) -> Column:
@@ -48,19 +53,53 @@ def sizes(examples: DataFrame, targets: DataFrame) -> DataFrame:
     return targets.withColumn("wanted", wanted).withColumn("quota", F.ceil("wanted").cast("long"))
 
 
+_KEPT = "mix_id string, target_no int, example_id string, h long, seen long"
+
+
 def reservoirs(examples: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
-    """One row per (target, matching example) with its place in the target's reservoir.
+    """(mix_id, target_no, example_id, h, seen), kept: the reservoirs of all partitions, and rows without an example that count what they saw.
 
-    The reservoir of a target is the set of lowest hashes of (seed, mix, example): bottom-k sets of parts of the data merge
-    to that of the whole, whatever the parts. As quotas grow with the data, a reservoir is kept in ranges of the hash, so
-    no target is sorted in one task. An example that several targets of a mix match counts for the one that asks most
-    attributes, then the lowest target_no.
+    A partition's reservoir of a target is the set of its lowest hashes of (seed, mix, example), as many as the target's quota; the
+    union of reservoirs holds the lowest of the whole, whatever the partitions, so they merge, and the counts add up. An example that
+    several targets of a mix match is kept for the one that asks most attributes, then the lowest target_no, and counted for all.
     """
     asked = sum((F.col(c).isNotNull().cast("int") for c in ("category", "subcategory", "difficulty")), F.lit(0))
     detail = targets.select("mix_id", "target_no", asked.alias("_asked"))
     m = matches(examples, targets).join(F.broadcast(detail), ["mix_id", "target_no"])
-    m = m.groupBy("mix_id", "example_id").agg(F.min_by("target_no", F.struct(-F.col("_asked"), F.col("target_no"))).alias("target_no"))
-    return sharded_rank(m, ["mix_id", "target_no"], F.xxhash64(F.lit(seed), "mix_id", "example_id"), "example_id")
+    m = m.groupBy("mix_id", "example_id").agg(F.min_by("target_no", F.struct(-F.col("_asked"), F.col("target_no"))).alias("target_no"), F.collect_set("target_no").alias("all"))
+    quota = sizes(examples, targets).select("mix_id", "target_no", "quota")
+    rows = m.join(F.broadcast(quota), ["mix_id", "target_no"]).select("mix_id", F.col("target_no").cast("int").alias("target_no"), "example_id", hashed(seed).alias("h"), F.col("all").cast("array<int>").alias("all"), "quota")
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: dict = {}
+        seen: Counter = Counter()
+        for b in batches:
+            for mix, own in zip(b["mix_id"], b["all"], strict=True):
+                seen.update((mix, int(t)) for t in own)
+            for key, g in b.groupby(["mix_id", "target_no"]):
+                k = int(g["quota"].iloc[0])
+                both = pd.concat([kept[key], g]) if key in kept else g
+                kept[key] = both.sort_values(["h", "example_id"]).head(k)[["mix_id", "target_no", "example_id", "h"]]
+        for g in kept.values():
+            yield g.assign(seen=0)
+        yield pd.DataFrame([(*key, None, 0, n) for key, n in seen.items()], columns=["mix_id", "target_no", "example_id", "h", "seen"])
+
+    return cut(rows.mapInPandas(fill, _KEPT))
+
+
+def hashed(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "mix_id", "example_id").bitwiseAND(F.lit((1 << 62) - 1))
+
+
+def available(r: DataFrame) -> DataFrame:
+    """(mix_id, target_no, available): the counts of merged reservoirs."""
+    return r.groupBy("mix_id", "target_no").agg(F.sum("seen").alias("available"))
+
+
+def trimmed(r: DataFrame, q: DataFrame) -> DataFrame:
+    """(mix_id, target_no, example_id, place) of merged reservoirs, trimmed to the quotas; ranked in ranges of the hash, so no target is sorted in one task."""
+    ranked = sharded_rank(r.where("example_id is not null"), ["mix_id", "target_no"], F.col("h"), "example_id")
+    return ranked.join(F.broadcast(q.select("mix_id", "target_no", "quota")), ["mix_id", "target_no"]).where(F.col("rank") <= F.col("quota")).select("mix_id", "target_no", "example_id", F.col("rank").alias("place"))
 
 
 def sample(examples: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
@@ -70,17 +109,15 @@ def sample(examples: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame
     once, empty tables give an empty sample, and the choice depends on ids and seed only, never on order or partitions.
     """
     rows = examples.where(F.col("example_id").isNotNull())
-    r = reservoirs(rows, targets, seed)
-    q = sizes(rows, targets).select("mix_id", "target_no", "quota")
-    return r.join(F.broadcast(q), ["mix_id", "target_no"]).where(F.col("rank") <= F.col("quota")).select("mix_id", "target_no", "example_id", F.col("rank").alias("place"))
+    return trimmed(reservoirs(rows, targets, seed), sizes(rows, targets))
 
 
 def report(examples: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
     """Each target with distinct matching examples (`available`), `wanted`, rows taken, the share reached, and whether it was met."""
     rows = examples.where(F.col("example_id").isNotNull())
-    available = matches(rows, targets).groupBy("mix_id", "target_no").agg(F.count(F.lit(1)).alias("available"))
-    taken = sample(rows, targets, seed).groupBy("mix_id", "target_no").agg(F.count(F.lit(1)).alias("taken"))
-    out = sizes(rows, targets).join(available, ["mix_id", "target_no"], "left").join(taken, ["mix_id", "target_no"], "left")
+    r, q = reservoirs(rows, targets, seed), sizes(rows, targets)
+    taken = trimmed(r, q).groupBy("mix_id", "target_no").agg(F.count(F.lit(1)).alias("taken"))
+    out = q.join(available(r), ["mix_id", "target_no"], "left").join(taken, ["mix_id", "target_no"], "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
     out = out.withColumn("available", zero("available")).withColumn("taken", zero("taken"))
     totals = out.groupBy("mix_id").agg(F.sum("taken").alias("_total"))
@@ -89,9 +126,8 @@ def report(examples: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame
     return out.select("mix_id", "target_no", "target_share", "min_rows", "wanted", "quota", "available", "taken", reached.alias("reached_share"), (F.col("available") >= F.col("wanted")).alias("met"))
 
 
-def unmet(examples: DataFrame, targets: DataFrame) -> DataFrame:
-    """(mix_id, target_no) of the targets whose reservoir, whole, holds fewer distinct examples than wanted."""
+def unmet(examples: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
+    """(mix_id, target_no) of the targets whose merged reservoirs saw fewer distinct examples than wanted."""
     rows = examples.where(F.col("example_id").isNotNull())
-    available = matches(rows, targets).groupBy("mix_id", "target_no").agg(F.count(F.lit(1)).alias("available"))
-    out = sizes(rows, targets).join(available, ["mix_id", "target_no"], "left")
+    out = sizes(rows, targets).join(available(reservoirs(rows, targets, seed)), ["mix_id", "target_no"], "left")
     return out.where(F.coalesce("available", F.lit(0)) < F.col("wanted")).select("mix_id", F.col("target_no").cast("int").alias("target_no"))
