@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltwork.runtime import cut
+from siltwork.runtime import cut, discard
 
 HOT_ROWS = 10_000
 FANS = 64
@@ -51,13 +51,17 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         up = cut(joined.select("node", F.when(mutual, F.col("node")).otherwise(F.col("up")).alias("up")))
         while True:
             over = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            jumped = cut(up.join(over, "up").select("node", F.col("top"), (F.col("top") != F.col("up")).alias("moved")))
-            up = jumped.select("node", F.col("top").alias("up"))
+            above = over.select(F.col("up").alias("top"), F.col("top").alias("above"))
+            # two jumps at once, and whether any path was longer, in the job that writes
+            jumped = cut(up.join(over, "up").join(above, "top").select("node", F.col("above").alias("up"), (F.col("above") != F.col("up")).alias("moved")))
+            discard(up)
+            up = jumped
             if jumped.where("moved").isEmpty():
                 break
         root = up.select(F.col("node").alias("root"), F.col("up").alias("top"))
-        labels = cut(labels.join(root, "root", "left").select("node", F.coalesce("top", "root").alias("root")))
+        before, labels = labels, cut(labels.join(root, "root", "left").select("node", F.coalesce("top", "root").alias("root")))
+        discard(before)
         ra, rb = root.select(F.col("root").alias("a"), F.col("top").alias("ra")), root.select(F.col("root").alias("b"), F.col("top").alias("rb"))
         e = e.join(ra, "a").join(rb, "b").where(F.col("ra") != F.col("rb"))
         e = cut(e.groupBy(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).agg(F.min("e").alias("e")))
-    return labels, (forest.select(F.col("ea").alias("a"), F.col("eb").alias("b")) if forest is not None else e.select("a", "b"))
+    return labels, cut(forest.select(F.col("ea").alias("a"), F.col("eb").alias("b")).distinct() if forest is not None else e.select("a", "b"))

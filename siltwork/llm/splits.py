@@ -32,12 +32,20 @@ def record_links(df: DataFrame) -> DataFrame:
 
 def components(df: DataFrame) -> DataFrame:
     """(example_id, root): related examples, also through others, have the same root; an example without relations is its own."""
-    labels, _ = spanning_forest(star_edges(record_links(df)))
+    labels, _ = spanning_forest(star_edges(record_links(df)))  # `links` gives the other part
     labels = labels.where(F.col("node").startswith("example:")).select(F.expr("substring(node, 9)").alias("example_id"), "root")
     ids = df.where(F.col("example_id").isNotNull()).select("example_id").distinct()
     return ids.join(labels, "example_id", "left").select("example_id", F.coalesce("root", F.concat(F.lit("example:"), F.col("example_id"))).alias("root"))
 
 
+def links(df: DataFrame) -> DataFrame:
+    """(a, b): the spanning forest that explains the groups, edges between `example:`, `question:` and `group:` vertices.
+
+    A hot key has parts, named by the key, \\x1f and a number. Members less roots is the number of edges.
+    """
+    return spanning_forest(star_edges(record_links(df)))[1]
+
+
 def assign(df: DataFrame, proportions: dict[str, float] | None = None, seed: int = 42) -> DataFrame:
     """(example_id, root, members, split) of every distinct example.
 
