@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltwork.llm.forest import spanning_forest
@@ -14,6 +14,8 @@ from siltwork.runtime import cut, spread
 
 #: At a similarity of 0.7 a pair is missed with probability (1 - 0.7^8)^128 = 0.0005, at 0.75 with 0.000001.
 BANDS, ROWS, THRESHOLD = 128, 8, 0.7
+#: Rows of a key in one block.
+BUCKET = 256
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -74,9 +76,27 @@ def classes(df: DataFrame, id_col: str, parts: list[str]) -> tuple[DataFrame, Da
         ok = ok & F.col(p).isNotNull() & (F.col(p) != "")
     rows = df.where(ok).select(F.col(id_col).alias("id"), token_set(*[F.col(p) for p in parts]).alias("words")).where(F.size("words") > 0)
     members = rows.select("id", F.sha2(F.concat_ws(" ", "words"), 256).alias("cls"), F.transform("words", lambda w: F.xxhash64(w)).alias("tokens"))
-    members = cut(spread(members.distinct()))
-    sets = cut(members.groupBy("cls").agg(F.first("tokens").alias("tokens")).withColumn("n", F.size("tokens")))
-    return members.select("id", "cls").distinct(), sets
+    members = cut(members.distinct())
+    sets = members.groupBy("cls").agg(F.first("tokens").alias("tokens")).withColumn("n", F.size("tokens"))
+    return members.select("id", "cls").distinct(), cut(sets.withColumn("no", F.monotonically_increasing_id()))
+
+
+def split_pairs(rows: DataFrame, key: str, bucket: int = BUCKET) -> DataFrame:
+    """(x, y, nx, ny), x < y, of the rows (key, no, n) that share a key, each once per key.
+
+    A key's rows are laid in blocks of about `bucket` by a hash, and each pair of blocks is a join group of its own, so a key that a
+    third of all rows have is spread over many tasks.
+    """
+    own = Window.partitionBy(key)
+    shared = cut(rows.withColumn("_c", F.count(F.lit(1)).over(own)).where("_c > 1"))  # a key that only one row has can't make a pair
+    parts = F.ceil(F.col("_c") / bucket).cast("int")
+    laid = shared.withColumn("_parts", parts).withColumn("_own", F.pmod(F.xxhash64("no"), F.col("_parts")).cast("int"))
+    a = laid.select(key, F.col("_own").alias("_i"), F.explode(F.sequence(F.col("_own"), F.col("_parts") - 1)).alias("_j"), F.col("no").alias("x"), F.col("n").alias("nx"))
+    b = laid.select(key, F.explode(F.sequence(F.lit(0), F.col("_own"))).alias("_i"), F.col("_own").alias("_j"), F.col("no").alias("y"), F.col("n").alias("ny"))
+    met = a.join(b, [key, "_i", "_j"]).where((F.col("_i") < F.col("_j")) | (F.col("x") < F.col("y")))
+    swap = F.col("x") > F.col("y")
+    pick = lambda p, q: F.when(swap, F.col(q)).otherwise(F.col(p))
+    return met.select(pick("x", "y").alias("x"), pick("y", "x").alias("y"), pick("nx", "ny").alias("nx"), pick("ny", "nx").alias("ny"))
 
 
 def similar_classes(sets: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -87,30 +107,46 @@ def similar_classes(sets: DataFrame, threshold: float = THRESHOLD, bands: int =
         seeds = round_seeds(t)
         for b in batches:
             keys = [band_keys(sketch(np.asarray(x, dtype=np.int64).view(np.uint64), t, seeds), bands, rows) for x in b["tokens"]]
-            yield pd.DataFrame({"cls": b["cls"], "n": b["n"], "keys": pd.Series(keys, index=b.index, dtype=object)})
-
-    banded = spread(sets).mapInPandas(run, "cls string, n int, keys array<long>").select("cls", "n", F.explode("keys").alias("key"))
-    banded = cut(banded)
-    # a key that only one class has can't make a pair
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("key")
-    banded = cut(banded.join(shared, "key", "left_semi"))
-    a, b = banded.select("key", F.col("cls").alias("a"), F.col("n").alias("na")), banded.select("key", F.col("cls").alias("b"), F.col("n").alias("nb"))
-    near = (F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb"))
-    pairs = a.join(b, "key").where(near).select("a", "b").distinct()
-    sa, sb = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta")), sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb"))
-    both = F.size(F.array_intersect("ta", "tb"))
-    similarity = both / (F.size("ta") + F.size("tb") - both)
-    return pairs.join(sa, "a").join(sb, "b").select("a", "b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
+            yield pd.DataFrame({"no": b["no"], "n": b["n"], "keys": pd.Series(keys, index=b.index, dtype=object)})
+
+    banded = spread(sets.select("no", "n", "tokens")).mapInPandas(run, "no long, n int, keys array<long>").select("no", "n", F.explode("keys").alias("key"))
+    near = F.least("nx", "ny") >= F.lit(threshold) * F.greatest("nx", "ny")
+    pairs = split_pairs(banded, "key").where(near).select("x", "y").distinct()
+    sa, sb = (sets.select(F.col("no").alias(k), F.col("cls").alias(f"c{k}"), F.col("tokens").alias(f"t{k}")) for k in "xy")
+    both = F.size(F.array_intersect("tx", "ty"))
+    similarity = both / (F.size("tx") + F.size("ty") - both)
+    found = pairs.join(sa, "x").join(sb, "y").select(F.least("cx", "cy").alias("a"), F.greatest("cx", "cy").alias("b"), similarity.alias("similarity"))
+    return found.where(F.col("similarity") >= threshold)
+
+
+def representatives(df: DataFrame, id_col: str, parts: list[str], threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """membership (id, class_id) and links (a, b, similarity) between the classes of equal token sets: every pair, without writing copies out."""
+    members, sets = classes(df, id_col, parts)
+    return members.select(F.col("id").alias(id_col), F.col("cls").alias("class_id")), similar_classes(sets, threshold)
 
 
 def similar_pairs(df: DataFrame, id_col: str, parts: list[str], threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b) of different ids, a < b, whose similarity reaches the threshold, members of equal classes included."""
+    """(a, b) of different ids, a < b, whose similarity reaches the threshold, members of equal classes included.
+
+    The classes' links are found first and only then written out: a class of k copies has k (k - 1) / 2 pairs by definition, so its
+    members are laid in blocks, and each pair of blocks is a join group of its own. Only ids with several texts can give a
+    pair twice, and only theirs are made distinct.
+    """
     members, sets = classes(df, id_col, parts)
-    found = similar_classes(sets, threshold).select(F.col("a").alias("ca"), F.col("b").alias("cb"))
-    same = sets.select(F.col("cls").alias("ca"), F.col("cls").alias("cb"))
-    left, right = members.select(F.col("cls").alias("ca"), F.col("id").alias("x")), members.select(F.col("cls").alias("cb"), F.col("id").alias("y"))
-    pairs = found.union(same).join(left, "ca").join(right, "cb").where(F.col("x") != F.col("y"))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    found = similar_classes(sets, threshold)
+    members = cut(members.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy("id"))).withColumn("many", F.col("_k") > 1).drop("_k"))
+    size = cut(members.groupBy("cls").agg(F.count(F.lit(1)).alias("_n")).withColumn("parts", F.ceil(F.col("_n") / BUCKET).cast("int")).drop("_n"))
+    block = members.join(size, "cls").select("cls", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("block"), "id", "many")
+    side = lambda c, i, x, m: block.select(F.col("cls").alias(c), F.col("block").alias(i), F.col("id").alias(x), F.col("many").alias(m))
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    other = found.join(size.select(F.col("cls").alias("a"), F.col("parts").alias("pa")), "a").join(size.select(F.col("cls").alias("b"), F.col("parts").alias("pb")), "b")
+    other = other.select(F.col("a").alias("ca"), F.col("b").alias("cb"), F.explode(upto("pa")).alias("i"), "pb").select("ca", "cb", "i", F.explode(upto("pb")).alias("j"))
+    own = size.select(F.col("cls").alias("ca"), F.col("cls").alias("cb"), F.explode(upto("parts")).alias("i"), "parts").select("ca", "cb", "i", F.explode(F.sequence(F.col("i"), F.col("parts") - 1)).alias("j"))
+    left, right = side("ca", "i", "x", "mx"), side("cb", "j", "y", "my")
+    met = other.union(own).join(left, ["ca", "i"]).join(right, ["cb", "j"])
+    met = met.where((F.col("x") != F.col("y")) & ((F.col("ca") != F.col("cb")) | (F.col("i") < F.col("j")) | (F.col("x") < F.col("y"))))
+    met = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("mx") | F.col("my")).alias("many"))
+    return met.where("not many").select("a", "b").union(met.where("many").select("a", "b").distinct())
 
 
 def groups(df: DataFrame, id_col: str, parts: list[str], threshold: float = THRESHOLD) -> DataFrame:

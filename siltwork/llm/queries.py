@@ -46,6 +46,10 @@ def p3_splits(spark: SparkSession, d: str) -> DataFrame:
     return splits.assign(table(spark, d, "sft_examples"))
 
 
+def p3_forest(spark: SparkSession, d: str) -> DataFrame:
+    return splits.links(table(spark, d, "sft_examples"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return consensus.unrelated(table(spark, d, "reviews"))
 
@@ -75,6 +79,14 @@ def p6_groups(spark: SparkSession, d: str) -> DataFrame:
     return near.groups(table(spark, d, "questions"), "question_id", ["question_text", "answer_text"])
 
 
+def p6_members(spark: SparkSession, d: str) -> DataFrame:
+    return near.representatives(table(spark, d, "questions"), "question_id", ["question_text", "answer_text"])[0]
+
+
+def p6_links(spark: SparkSession, d: str) -> DataFrame:
+    return near.representatives(table(spark, d, "questions"), "question_id", ["question_text", "answer_text"])[1]
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return answers.defective(table(spark, d, "drafts"))
 

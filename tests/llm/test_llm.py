@@ -45,6 +45,9 @@ def test_mixture(spark):
     assert len({(x.mix_id, x.example_id) for x in s}) == len(s)
     again = mixture.sample(e.repartition(7), t).collect()
     assert {tuple(x) for x in s} == {tuple(x) for x in again}
+    small, q = mixture.reservoirs(e.where("example_id is not null").repartition(5), t), {(x.mix_id, x.target_no): x.quota for x in mixture.sizes(e.where("example_id is not null"), t).collect()}
+    per = small.where("example_id is not null").groupBy("mix_id", "target_no", F.spark_partition_id().alias("p")).count().collect()
+    assert all(x["count"] <= q[x.mix_id, x.target_no] for x in per)
     assert mixture.sample(e.limit(0), t).count() == 0 and mixture.report(e.limit(0), t).count() == 5 and mixture.unmet(e, t.limit(0)).count() == 0
 
 
@@ -139,6 +142,8 @@ def test_splits(spark):
     n = {k: list(by.values()).count(k) for k in ("train", "val", "test")}
     assert abs(n["val"] - 20) <= 4 and abs(n["test"] - 20) <= 4
     assert by == {r.example_id: r.split for r in splits.assign(df.repartition(9)).collect()}
+    labels, tree = forest.spanning_forest(forest.star_edges(splits.record_links(df)))
+    assert splits.links(df).count() == tree.count() == labels.count() - labels.select("root").distinct().count()
     assert splits.assign(df.limit(0)).count() == 0 and splits.broken(df.limit(0)).count() == 0
 
 
@@ -282,6 +287,19 @@ def test_pairs_equal_brute_force(spark):
     assert near.similar_pairs(df.limit(0), "question_id", ["q", "a"]).count() == 0
 
 
+def test_copies_and_hot_keys_stay_whole(spark, monkeypatch):
+    rows = [(f"c{i:05d}", "one two three four", "five") for i in range(10_000)] + [("d1", "one two three four", "five six")]
+    df = spark.createDataFrame(rows, "question_id string, q string, a string")
+    members, links = near.representatives(df, "question_id", ["q", "a"])
+    assert members.count() == 10_001 and links.count() == 1
+    monkeypatch.setattr(near, "BUCKET", 3)
+    few = spark.createDataFrame(rows[:20] + rows[-1:], df.schema)
+    assert near.similar_pairs(few, "question_id", ["q", "a"]).count() == 21 * 20 // 2
+    k = spark.createDataFrame([("k", i, 1) for i in range(20)] + [("z", 1, 1)], "key string, no long, n int")
+    got = sorted(tuple(r)[:2] for r in near.split_pairs(k, "key", 3).collect())
+    assert got == [(x, y) for x in range(20) for y in range(x + 1, 20)]
+
+
 # ---- 7: answers
 
 
