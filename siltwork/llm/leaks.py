@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import math
-from collections import Counter
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltwork.runtime import cut, spread
+from siltwork.runtime import cut, small, spread
 
 #: An item leaked if a document holds this share of its words in order (half, less a word changed at an edge).
 SHARE = 0.48
@@ -19,24 +18,26 @@ SHARE = 0.48
 OWN, STOCK = 0.3, 0.02
 #: Words of a remark between two parts; equal words in a row that a run has, which is also the length of the indexed phrases.
 REMARK, RUN = 40, 3
+#: Tables of phrases, items and candidates up to this number of rows (some 50 MB) are broadcast; greater ones are joined by a shuffle.
+SENT = 500_000
 
 
 def terms(text: Column) -> Column:
     """Lower-cased runs of letters and digits, without markup tags and characters that aren't visible."""
-    bare = F.regexp_replace(F.regexp_replace(text, r"</?[a-zA-Z][^<>]{0,80}>", " "), "[­​-‏⁠﻿]", "")
+    bare = F.regexp_replace(F.regexp_replace(text, r"</?[a-zA-Z][a-zA-Z0-9:-]*+(?:[\s/][^<>]*+)?>", " "), "[­​-‏⁠﻿]", "")
     return F.regexp_extract_all(F.lower(bare), F.lit(r"([\p{L}\p{N}]+)"), 1)
 
 
-def postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(phrase, doc_id, pos) of the phrases of RUN words in `vocabulary`, kept in the shared folder.
+def phrases_of(df: DataFrame, key: str) -> DataFrame:
+    """(key, pos, phrase) of every run of RUN words."""
+    words = df.select(key, terms(F.col("text")).alias("w"))
+    rows = words.select(key, F.posexplode(F.arrays_zip(*[F.slice("w", k + 1, F.size("w")).alias(f"w{k}") for k in range(RUN)])).alias("pos", "p"))
+    return rows.where(F.col("p")[f"w{RUN - 1}"].isNotNull()).select(key, "pos", F.concat_ws(" ", *[F.col("p")[f"w{k}"] for k in range(RUN)]).alias("phrase"))
 
-    The vocabulary is that of a fixed set of test items (200 here, some thousand phrases), so it is sent to every task and only
-    its postings are ever shuffled.
-    """
-    words = spread(docs.select("doc_id", "text")).select("doc_id", terms(F.col("text")).alias("w"))
-    rows = words.select("doc_id", F.posexplode(F.arrays_zip(*[F.slice("w", k + 1, F.size("w")).alias(f"w{k}") for k in range(RUN)])).alias("pos", "p"))
-    rows = rows.select("doc_id", "pos", F.concat_ws(" ", *[F.col("p")[f"w{k}"] for k in range(RUN)]).alias("phrase"))
-    return cut(rows.join(F.broadcast(vocabulary), "phrase"))
+
+def postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(phrase, doc_id, pos) of the phrases in `vocabulary`, kept in the shared folder. A small vocabulary is sent to the scan, so that only its postings are ever shuffled."""
+    return cut(phrases_of(spread(docs.select("doc_id", "text")), "doc_id").join(small(vocabulary, SENT), "phrase"))
 
 
 def _covered(doc: list[str], item: list[str], own: set[int], diagonals: list[int]) -> tuple[float, float, float, int]:
@@ -61,13 +62,16 @@ def _covered(doc: list[str], item: list[str], own: set[int], diagonals: list[int
                     runs.append((equal[0], equal[-1] + 1, d, equal))
                 equal, streak, longest = [o], 1, 1
     runs.sort(key=lambda r: r[:3])
+    # runs of a chain lie near each other, so only those on diagonals within reach are looked at, however many there are
+    order = sorted({d for _, _, d, _ in runs})
+    on: dict[int, list[int]] = {d: [] for d in order}
     best: list[tuple[int, int, int]] = []  # words and own phrases of the best chain that ends in a run, and its first position
     words, phrases, at = 0, 0, 0
     for i, (a, b, d, equal) in enumerate(runs):
         same = set(equal)
         held = [o for o in equal if o in own and all(o + k in same for k in range(1, RUN))]
         length, kept, start = b - a, len(held), a + d
-        for j in range(i):
+        for j in (j for d2 in order[bisect_left(order, d - REMARK) : bisect_right(order, d + len(item) // 2)] for j in on[d2]):
             a2, b2, d2, _ = runs[j]
             if a2 < a and b2 < b and a2 + d2 < a + d and b2 + d2 < b + d and d - d2 <= REMARK and d2 - d <= len(item) // 2:
                 first = max(a, b2, b2 + d2 - d)
@@ -75,38 +79,41 @@ def _covered(doc: list[str], item: list[str], own: set[int], diagonals: list[int
                 if first < b and sum(more) > length + kept:
                     (length, kept), start = more, best[j][2]
         best.append((length, kept, start))
+        on[d].append(i)
         if length + kept > words + phrases:
             words, phrases, at = length, kept, start
     n = max(1, len(item))
     return words / n, phrases / max(1, words), max((b - a for a, b, _, _ in runs), default=0) / n, at
 
 
-def item_words(items: DataFrame) -> dict:
-    """The words of each item in order, of the fixed test items."""
-    rows = items.where("item_id is not null and text is not null").select("item_id", F.posexplode(terms(F.col("text"))).alias("off", "term")).distinct()
-    of: dict = {}
-    for i, _, t in sorted(rows.collect()):
-        of.setdefault(i, []).append(t)
-    return of
-
+def item_phrases(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """phrases (item_id, off, phrase, own) and texts (item_id, item, offsets of its own phrases) of the items, both kept.
 
-def item_phrases(of: dict) -> list[tuple]:
-    """(item, offset, phrase, own) of each item's phrases; counted over the items, so no number of leaked copies in documents moves `own`."""
-    rows = [(i, o, " ".join(w[o : o + RUN])) for i, w in of.items() for o in range(len(w) - RUN + 1)]
-    df = Counter(p for _, p in {(i, p) for i, _, p in rows})
-    return [(i, o, p, df[p] <= max(2, STOCK * len(of))) for i, o, p in rows]
+    Counted over the items, so no number of leaked copies in documents moves `own`. An id with several texts has the greatest.
+    """
+    rows = items.where("item_id is not null and text is not null").groupBy("item_id").agg(F.max("text").alias("text"))
+    rows = rows.where(F.size(terms(F.col("text"))) > 0)
+    p = phrases_of(rows, "item_id").withColumnRenamed("pos", "off")
+    df = p.select("item_id", "phrase").distinct().groupBy("phrase").agg(F.count(F.lit(1)).alias("df"))
+    n = rows.count()
+    phrases = cut(p.join(df, "phrase").select("item_id", "off", "phrase", (F.col("df") <= max(2, STOCK * n)).alias("own")))
+    own = phrases.where("own").groupBy("item_id").agg(F.collect_set("off").alias("offsets"))
+    texts = rows.select("item_id", terms(F.col("text")).alias("item")).join(own, "item_id", "left")
+    return phrases, cut(texts.select("item_id", "item", F.coalesce("offsets", F.array().cast("array<int>")).alias("offsets")))
 
 
 def candidates(docs: DataFrame, phrases: DataFrame, least: DataFrame) -> DataFrame:
-    """(doc_id, item_id, diagonals) of the documents that hold enough own phrases of an item for a cover of SHARE.
+    """(doc_id, item_id, diagonals) of the documents that hold enough own phrases of an item for a cover of SHARE, kept.
 
     phrases is (item_id, off, phrase, own), least (item_id, least) the number of own phrases; as a cover needs so many, none is missed.
+    The own phrases are the rarest of an item: their postings are intersected first, the others' join only where enough of those met.
     """
-    index = postings(docs, phrases.select("phrase").distinct())
-    own = index.join(F.broadcast(phrases.where("own")), "phrase").groupBy("doc_id", "item_id").agg(F.countDistinct("off").alias("held"))
-    found = own.join(F.broadcast(least), "item_id").where("held >= least").select("doc_id", "item_id")
-    hits = index.join(F.broadcast(phrases), "phrase").join(found, ["doc_id", "item_id"], "left_semi")
-    return hits.groupBy("doc_id", "item_id").agg(F.collect_set(F.col("pos") - F.col("off")).alias("diagonals"))
+    index = postings(docs, cut(phrases.select("phrase").distinct()))
+    asked = small(phrases, SENT)
+    own = index.join(asked.where("own"), "phrase").groupBy("doc_id", "item_id").agg(F.countDistinct("off").alias("held"))
+    found = own.join(small(least, SENT), "item_id").where("held >= least").select("doc_id", "item_id")
+    hits = index.join(asked, "phrase").join(found, ["doc_id", "item_id"], "left_semi")
+    return cut(hits.groupBy("doc_id", "item_id").agg(F.collect_set(F.col("pos") - F.col("off")).alias("diagonals")))
 
 
 def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE, least: float = OWN) -> DataFrame:
@@ -115,36 +122,28 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE, least: float
     Words count in order, as one passage or as parts with a short remark between, changed words inside a run included; a run
     needs RUN equal words in a row and the cover `least` own phrases per word, so shared names and stock phrases don't add up. `exact` marks unbroken whole items. Null
     and empty texts match nothing, items without a word are left out, copies of documents are each reported, an id that
-    occurs twice is reported once, and the columns other than doc_id, item_id and text may have any name.
+    occurs twice is reported once, and the columns other than doc_id, item_id and text may have any name. Only documents with
+    candidates are read again: their ids are sent to the scan while there are few, else joined.
     """
     docs = docs.where("doc_id is not null and text is not null and text <> ''").select("doc_id", "text")
-    kind = items.schema["item_id"].dataType.simpleString()
-    of = item_words(items)
-    rows = item_phrases(of)
-    phrases = docs.sparkSession.createDataFrame(rows, f"item_id {kind}, off int, phrase string, own boolean")
-    enough = docs.sparkSession.createDataFrame([(i, math.ceil(least * share * len(w) - 1e-9)) for i, w in of.items()], f"item_id {kind}, least int")
-    found = candidates(docs, phrases, enough).groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "diagonals")).alias("items"))
-    offsets: dict = {i: set() for i in of}
-    for i, o, _, is_own in rows:
-        if is_own:
-            offsets[i].add(o)
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {kind}, share double, own double, run_share double, first_word int"
+    phrases, texts = item_phrases(items)
+    enough = cut(texts.select("item_id", F.ceil(F.size("item") * share * least - 1e-9).cast("int").alias("least")))
+    found = candidates(docs, phrases, enough)
+    ids = cut(found.select("doc_id").distinct())
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {items.schema['item_id'].dataType.simpleString()}, share double, own double, run_share double, first_word int"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for doc, words, its in zip(b["doc_id"], b["words"], b["items"], strict=True):
-                words = list(words)
-                for x in its:
-                    i = x["item_id"]
-                    s, own, longest, at = _covered(words, of[i], offsets[i], x["diagonals"])
-                    if s >= share and own >= least:
-                        out.append((doc, i, s, own, longest, at))
+            for r in b.itertuples(index=False):
+                s, own, longest, at = _covered(list(r.words), list(r.item), {int(o) for o in r.offsets}, [int(d) for d in r.diagonals])
+                if s >= share and own >= least:
+                    out.append((r.doc_id, r.item_id, s, own, longest, at))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "share", "own", "run_share", "first_word"])
 
-    rows = docs.join(found, "doc_id").select("doc_id", terms(F.col("text")).alias("words"), "items")
-    out = spread(rows).mapInPandas(run, schema)
-    best = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("share", "own", "run_share", "first_word")).alias("m"))
+    held = docs.join(small(ids, SENT), "doc_id", "left_semi").select("doc_id", terms(F.col("text")).alias("words"))
+    rows = held.join(found, "doc_id").join(small(texts, SENT), "item_id").select("doc_id", "item_id", "words", "item", "offsets", "diagonals")
+    best = rows.mapInPandas(run, schema).groupBy("doc_id", "item_id").agg(F.max(F.struct("share", "own", "run_share", "first_word")).alias("m"))
     return best.select("doc_id", "item_id", "m.*", (F.col("m.run_share") >= 1).alias("exact"))
 
 

@@ -393,6 +393,14 @@ def test_leaks(spark):
     assert leaks.leaks(df.limit(0), it).count() == 0 and leaks.leaks(df, it.limit(0)).count() == 0
 
 
+def test_long_markup_and_repeats(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    tag = f'<span class="{"x" * 300} w1 w2">'
+    docs = [(0, item.replace("w15", f"{tag}w15")), (1, " ".join([item] * 400)), (2, "a < b and w1 w2 w3 > c")]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(0, item)], "item_id long, text string")
+    assert {(r.doc_id, r.exact) for r in leaks.leaks(df, it).collect()} == {(0, True), (1, True)}
+
+
 def half_leaks():
     rng = random.Random(99)
     items = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(54))) for i in range(30)]
