@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from siltwork.operators import generate
 from siltwork.plans import ingest
 from siltwork.sources import files, schemas, workbooks
 
@@ -26,6 +27,8 @@ def _parser() -> argparse.ArgumentParser:
     add("ingest-book", "input", "output", document_id=None, first=0, last=0, max_words=180, overlap_words=30)
     add("ingest-corpus", "manifest", "folder", "output", version="v1")
     add("validate-questions", "input")
+    add("rewrite-questions", "input", "output")
+    add("generate", "config")
     add("questions-from-csv", "input", "output", source_id="set")
     add("questions-from-workbooks", "input", "output", source_id="set")
     add("ratings-from-csv", "input", "questions", "output", tournament=None)
@@ -45,15 +48,22 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "ingest-corpus":
         said = {r.document_id: r.chunks for r in ingest.corpus(spark, a.folder, json.loads(Path(a.manifest).read_text()), a.output, version=a.version).collect()}
     elif a.command == "validate-questions":
-        said = files.read_jsonl(spark, a.input, schemas.QUESTION).where("question_id is not null and difficulty between 1 and 7").count()
+        said = files.valid_questions(files.read_jsonl(spark, a.input, schemas.QUESTION)).count()
+    elif a.command == "rewrite-questions":
+        said = files.rewrite_questions(spark, a.input, a.output)
     elif a.command == "questions-from-csv":
         files.write_jsonl(files.questions_from_tables(files.read_table(spark, a.input), a.source_id), a.output)
     elif a.command == "questions-from-workbooks":
-        files.write_jsonl(files.questions_from_tables(workbooks.rows(workbooks.cells(spark, a.input)), a.source_id), a.output)
+        got = workbooks.read_workbooks(spark, a.input, a.source_id)
+        for name, df in got.items():
+            files.write_jsonl(df, f"{a.output}/{name}")
+        said = [r.asDict() for r in got["summary"].collect()]
     elif a.command == "ratings-from-csv":
         files.write_jsonl(files.reviews_from_tables(files.read_table(spark, a.input), spark.read.json(a.questions), a.tournament), a.output)
     elif a.command == "sheet-ratings":
         files.write_jsonl(files.sheet_ratings(files.read_table(spark, a.input), spark.read.json(a.questions)), a.output)
+    elif a.command == "generate":
+        said = generate.run_config(spark, a.config)
     elif a.command == "export":
         out = ingest.clean_export(spark, a.questions_in, [a.reviews] if a.reviews else [], a.output, a.profile, a.held_out, seed=a.seed, validation=a.validation, test=a.test)
         said = {r.reason: r.n for r in out.collect()}

@@ -13,8 +13,12 @@ K1, B = 1.2, 0.75
 #: Weights of query terms by where they come from, of a heading's term, and defaults of a request.
 SUBCATEGORY_WEIGHT, TOPIC_WEIGHT, HINT_WEIGHT, HEADING = 1.0, 3.0, 0.25, 2
 FLOOR, BOOST, PENALTY, TOP = 0.05, 0.2, 0.25, 3
-#: Other names of subcategories.
-ALIASES = {"cosmo": "Cosmology", "hydro": "Hydrology", "meteo": "Meteorology", "r&m": "Rocks and Minerals", "rocks": "Rocks and Minerals", "minerals": "Rocks and Minerals", "combo": "Combinatorics", "geo": "Geometry", "nt": "Number Theory"}
+#: Other names of subcategories, by the name that counts.
+ALIASES = {
+    "Cosmology": ["Cosmo"], "Hydrology": ["Hydro"], "Meteorology": ["Meteo"], "Rocks and Minerals": ["R&M", "rocks", "minerals"], "Combinatorics": ["Combo"], "Geometry": ["Geo"], "Number Theory": ["NT"],
+}
+#: Subcategories of earth and space that are astronomy, and those that are of the earth.
+ASTRONOMY, EARTH = ["Cosmology", "Observation", "Solar System", "Stars"], ["Hydrology", "Meteorology", "Rocks and Minerals", "Tectonics"]
 #: Words that a subcategory's texts are likely to have.
 HINTS = {
     "Cosmology": ["cosmic microwave background", "expansion of the universe", "dark matter", "dark energy", "inflation", "hubble law"],
@@ -30,22 +34,63 @@ HINTS = {
 SPEC = "spec_id string, category string, subcategory string, question_type string, answer_mode string, difficulty int, topic_focus array<string>"
 
 
+def known_names() -> dict[str, str]:
+    """Names in small letters, also other ones, and what they stand for."""
+    return {a.lower(): n for n, others in ALIASES.items() for a in [*others, n]}
+
+
+def phrases() -> dict[str, list[str]]:
+    """What a subcategory's name is searched with: itself, its other names and its hints, sorted."""
+    return {n: sorted({n, *ALIASES.get(n, []), *HINTS.get(n, [])}) for n in {*ALIASES, *HINTS}}
+
+
+def _map(of: dict, value) -> Column:
+    return F.create_map(*[x for k, v in of.items() for x in (F.lit(k), value(v))])
+
+
 def canonical(c: Column) -> Column:
-    names = sorted(set(ALIASES.values()))
-    known = {n.lower(): n for n in names} | ALIASES
-    table = F.create_map(*[x for k, v in known.items() for x in (F.lit(k), F.lit(v))])
     clean = F.trim(c)
-    return F.coalesce(F.try_element_at(table, F.lower(clean)), clean)
+    return F.coalesce(F.try_element_at(_map(known_names(), F.lit), F.lower(clean)), clean)
 
 
 def expand(c: Column) -> Column:
-    """A subcategory with its canonical name, aliases and hints, sorted, each once; empty for a blank one."""
-    phrases = {n: sorted({n} | {a if a != "r&m" and a != "nt" else a.upper() for a, v in ALIASES.items() if v == n} | set(HINTS.get(n, []))) for n in {*ALIASES.values(), *HINTS}}
-    table = F.create_map(*[x for k, v in phrases.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    more = F.coalesce(F.try_element_at(table, canonical(c)), F.array().cast("array<string>"))
+    """A subcategory with its canonical name, other names and hints, sorted, each once; empty for a blank one."""
+    more = F.coalesce(F.try_element_at(_map(phrases(), lambda v: F.array(*map(F.lit, v))), canonical(c)), F.array().cast("array<string>"))
     return F.when(F.trim(c) == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.array_union(F.array(F.trim(c), canonical(c)), more)))
 
 
+def guidance_terms(c: Column) -> Column:
+    """The hints of a subcategory, in their order."""
+    return F.coalesce(F.try_element_at(_map(HINTS, lambda v: F.array(*map(F.lit, v))), canonical(c)), F.array().cast("array<string>"))
+
+
+def pools(specs: DataFrame, by_category: DataFrame, documents: DataFrame) -> DataFrame:
+    """(spec_id, document_id) that a request may use: its must_use_sources if it names any, else those of its category in
+    `by_category` (category, document_id); a category that isn't listed may use all."""
+    named = F.filter(F.transform(F.coalesce("must_use_sources", F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "") if "must_use_sources" in specs.columns else F.array().cast("array<string>")
+    s = specs.select("spec_id", "category", named.alias("named"))
+    must = s.select("spec_id", F.explode("named").alias("document_id")).distinct()
+    free = s.where(F.size("named") == 0).select("spec_id", "category")
+    ids = documents.select("document_id").distinct()
+    # a list of the requests' own, so each document is expanded once and no pair of tables is crossed
+    listed = by_category.select("category").distinct()
+    own = free.join(F.broadcast(by_category), "category").select("spec_id", "document_id")
+    rest = free.join(F.broadcast(listed), "category", "left_anti").agg(F.collect_set("spec_id").alias("specs")).first()["specs"]  # requests are few
+    every = ids.select(F.explode(F.array(*map(F.lit, rest))).alias("spec_id"), "document_id") if rest else own.limit(0)
+    return must.union(own).union(every).distinct()
+
+
+def preferred(specs: DataFrame, books: DataFrame) -> DataFrame:
+    """(spec_id, document_id) of the books that suit a request: `books` is (subject, document_id), where a subject is a subcategory's
+    name, `astronomy` or `earth`; a book of the subcategory itself goes before one of its field. Only earth and space has any."""
+    sub = canonical(F.col("subcategory"))
+    field_ = F.when(sub.isin(ASTRONOMY), "astronomy").when(sub.isin(EARTH), "earth")
+    s = specs.where(F.col("category") == "earth_space").select("spec_id", sub.alias("_sub"), field_.alias("_field"))
+    own = s.join(F.broadcast(books), F.col("subject") == F.col("_sub")).select("spec_id", "document_id")
+    field_books = s.join(F.broadcast(books), F.col("subject") == F.col("_field")).select("spec_id", "document_id")
+    return own.union(field_books.join(own.select("spec_id"), "spec_id", "left_anti"))
+
+
 def query_terms(specs: DataFrame) -> DataFrame:
     """(spec_id, term, weight): the greatest weight of each term; hints only where the request doesn't name the term itself."""
     part = lambda c, w: F.transform(T.retrieval_tokens(c), lambda t: F.struct(t.alias("term"), F.lit(w).alias("weight")))
@@ -68,6 +113,14 @@ def postings(chunks: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     return rows.groupBy("chunk_id", "document_id", "term").agg(F.sum("n").alias("tf"))
 
 
+def _once(chunks: DataFrame) -> DataFrame:
+    """Each chunk once, its first delivery, with the columns that retrieval reads."""
+    read = ["chunk_id", "document_id", "text", "topics", "chapter", "section"]
+    if "loaded_at" not in chunks.columns:
+        return chunks.select(*read)
+    return first_by(chunks.where("chunk_id is not null").select(*read, "loaded_at"), ["chunk_id"], "loaded_at", "text")
+
+
 def bm25(chunks: DataFrame, specs: DataFrame, pools: DataFrame | None = None, avoid: DataFrame | None = None) -> DataFrame:
     """(spec_id, chunk_id, document_id, score) of the chunks eligible for each request.
 
@@ -76,7 +129,7 @@ def bm25(chunks: DataFrame, specs: DataFrame, pools: DataFrame | None = None, av
     sums over chunks: the whole pool's are aggregated once and the avoided chunks' subtracted. Requests are few and their terms
     are broadcast; chunks are scanned once for all of them.
     """
-    c = first_by(chunks.where("chunk_id is not null"), ["chunk_id"], "loaded_at", "text") if "loaded_at" in chunks.columns else chunks
+    c = _once(chunks)
     length = F.greatest(F.lit(1), F.size(T.retrieval_tokens(F.coalesce("text", F.lit("")))))
     lengths = c.select("chunk_id", "document_id", length.alias("len"))
     q = query_terms(specs)
@@ -161,14 +214,20 @@ def facts(chunks: DataFrame, specs: DataFrame, preferred: DataFrame | None = Non
     s = bm25(chunks, specs, **of).where(F.col("score") >= floor)
     if preferred is not None:
         s = s.join(F.broadcast(preferred.select("spec_id", "document_id", F.lit(boost).alias("_more"))), ["spec_id", "document_id"], "left").withColumn("score", F.col("score") + F.coalesce("_more", F.lit(0.0)))
-    c = first_by(chunks.where("chunk_id is not null"), ["chunk_id"], "loaded_at", "text") if "loaded_at" in chunks.columns else chunks
+    c = _once(chunks)
     t = c.select("chunk_id", T.retrieval_tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
     return diverse_top(s.join(t, "chunk_id"), "chunk_id", "tokens", k, penalty)
 
 
-def bundles(chunks: DataFrame, questions: DataFrame, specs: DataFrame, **of) -> DataFrame:
-    """(spec_id, fact_chunks, style_examples): both ranked arrays of each request, empty where nothing fits."""
-    styles = style_scores(specs, questions).join(questions.select("question_id", T.retrieval_tokens(F.coalesce("question_text", F.lit(""))).alias("tokens")), "question_id")
+def bundles(chunks: DataFrame, questions: DataFrame, specs: DataFrame, avoid_styles: DataFrame | None = None, **of) -> DataFrame:
+    """(spec_id, fact_chunks, style_examples): both ranked arrays of each request, empty where nothing fits.
+
+    `avoid` (spec_id, chunk_id) and `avoid_styles` (spec_id, question_id) are left out before anything is picked.
+    """
+    scored = style_scores(specs, questions)
+    if avoid_styles is not None:
+        scored = scored.join(avoid_styles.select("spec_id", "question_id").distinct(), ["spec_id", "question_id"], "left_anti")
+    styles = scored.join(questions.select("question_id", T.retrieval_tokens(F.coalesce("question_text", F.lit(""))).alias("tokens")), "question_id")
     ranked = lambda d, c, name: d.groupBy("spec_id").agg(F.array_sort(F.collect_list(F.struct("place", c, "score"))).alias(name))
     a, b = ranked(facts(chunks, specs, **of), "chunk_id", "fact_chunks"), ranked(diverse_top(styles, "question_id", "tokens"), "question_id", "style_examples")
     j = specs.select("spec_id").join(a, "spec_id", "left").join(b, "spec_id", "left")

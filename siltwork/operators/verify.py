@@ -64,28 +64,51 @@ def style_issues(d: DataFrame) -> Column:
     return codes((direct & short, "reaction_speed_test"), (direct & ~short, "overly_direct_recall"), ((p["core"] != "") & p["low"].contains(F.lower(p["core"])), "answer_in_stem"), (parts >= 3, "unnecessary_flavor_text"))
 
 
-def topic_score(question: Column, subcategory: Column, topics: Column) -> Column:
+def topic_overlap(question: Column, subcategory: Column, topics: Column) -> Column:
+    """Share of the request's terms that the question has; the topics are expanded like the subcategory."""
     asked = F.array_distinct(T.runs(F.array_join(F.concat(expand(subcategory), F.flatten(F.transform(topics, expand))), " ")))
-    return F.round(F.least(F.lit(1.0), 2 * T.overlap(asked, T.runs(question))), 3)
+    return T.overlap(asked, T.runs(F.coalesce(question, F.lit(""))))
+
+
+def topic_score(question: Column, subcategory: Column, topics: Column) -> Column:
+    return F.round(F.least(F.lit(1.0), 2 * topic_overlap(question, subcategory, topics)), 3)
 
 
 def source_issues(drafts: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(draft_id, fact_issues): no citation, cited chunks that don't exist, and cited text that looks like front matter."""
+    """(draft_id, fact_issues, suspect_chunks): no citation, cited chunks that don't exist, and cited text that looks like front matter."""
     cited = drafts.select("draft_id", F.explode_outer("citations").alias("c")).select("draft_id", F.col("c.chunk_id").alias("chunk_id")).distinct()
     looks = chunks.groupBy("chunk_id").agg(F.max(has_any(F.lower(F.coalesce("text", F.lit(""))), FRONT_MATTER)).alias("front"))
-    g = cited.join(looks, "chunk_id", "left").groupBy("draft_id").agg(F.count("chunk_id").alias("n"), F.count("front").alias("known"), F.max(F.coalesce("front", F.lit(False))).alias("front"))
-    return g.select("draft_id", codes((F.col("n") == 0, "missing_citation"), ((F.col("n") > 0) & (F.col("known") == 0), "missing_fact_chunk"), (F.col("front"), "suspicious_source_chunk")).alias("fact_issues"))
+    g = cited.join(looks, "chunk_id", "left").groupBy("draft_id").agg(
+        F.count("chunk_id").alias("n"), F.count("front").alias("known"), F.array_sort(F.collect_set(F.when(F.col("front"), F.col("chunk_id")))).alias("suspect_chunks")
+    )
+    return g.select("draft_id", codes((F.col("n") == 0, "missing_citation"), ((F.col("n") > 0) & (F.col("known") == 0), "missing_fact_chunk"), (F.size("suspect_chunks") > 0, "suspicious_source_chunk")).alias("fact_issues"), "suspect_chunks")
 
 
-def verdicts(drafts: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Per draft its issues by kind, and pass, revise or fail: fail where the facts don't hold, revise where only something else doesn't."""
+def verdict(facts: Column, *others: Column) -> Column:
+    """pass without any issue, revise where the facts hold, else fail."""
+    return F.when(F.size(facts) > 0, "fail").when(sum((F.size(c) for c in others), F.lit(0)) > 0, "revise").otherwise("pass")
+
+
+def verdicts(drafts: DataFrame, chunks: DataFrame, questions: DataFrame | None = None) -> DataFrame:
+    """Per draft its issues by the five checks, topic and style scores, and pass, revise or fail.
+
+    The request is that of the draft: its subcategory, and `topic_focus` if the drafts have one. A style matches if any question of
+    `questions` has the draft's category and type; without questions none does. Difficulty and novelty are not judged and always hold.
+    """
     from siltwork.operators.tables import newest
 
     d = newest(drafts.where("draft_id is not null"), ["draft_id"], "loaded_at")
-    rules = d.select("draft_id", format_issues(d).alias("format_issues"), answer_issues(d).alias("answer_issues"), style_issues(d).alias("style_issues"))
-    out = rules.join(source_issues(d, chunks), "draft_id")
-    others = F.size("format_issues") + F.size("answer_issues") + F.size("style_issues")
-    return out.withColumn("verdict", F.when(F.size("fact_issues") > 0, "fail").when(others > 0, "revise").otherwise("pass"))
+    topics = F.col("topic_focus") if "topic_focus" in d.columns else F.array().cast("array<string>")
+    q = d["question"]
+    overlap = topic_overlap(q["question_text"], q["subcategory"], F.coalesce(topics, F.array().cast("array<string>")))
+    rules = d.select(
+        "draft_id", q["category"].alias("category"), q["question_type"].alias("question_type"), format_issues(d).alias("format_issues"), answer_issues(d).alias("answer_issues"), style_issues(d).alias("style_issues"),
+        codes((overlap == 0, "topic_mismatch")).alias("topic_issues"), F.round(F.least(F.lit(1.0), 2 * overlap), 3).alias("topic_score"),
+    )
+    kinds = questions.select("category", "question_type").distinct().withColumn("_like", F.lit(True)) if questions is not None else None
+    out = (rules.join(F.broadcast(kinds), ["category", "question_type"], "left") if kinds is not None else rules.withColumn("_like", F.lit(None).cast("boolean"))).join(source_issues(d, chunks), "draft_id")
+    out = out.withColumn("style_score", style_share(F.col("style_issues"), F.coalesce("_like", F.lit(False)))).drop("_like")
+    return out.withColumn("verdict", verdict(F.col("fact_issues"), F.col("format_issues"), F.col("answer_issues"), F.col("topic_issues"), F.col("style_issues")))
 
 
 def style_share(issues: Column, matched: Column) -> Column:
@@ -93,7 +116,26 @@ def style_share(issues: Column, matched: Column) -> Column:
 
 
 def display_scores(v: DataFrame) -> DataFrame:
-    """Scores of a verdict for display: checks as 0 or 1, and their mean."""
+    """Scores of a verdict for display: format and facts as 0 or 1, topic and style, and the mean of the four."""
     ok = lambda c: (F.size(c) == 0).cast("double")
-    s = v.select("draft_id", ok("format_issues").alias("format"), ok("fact_issues").alias("facts"), ok("answer_issues").alias("answer"), style_share(F.col("style_issues"), F.lit(True)).alias("style"))
-    return s.withColumn("overall", F.round((F.col("format") + F.col("facts") + F.col("answer") + F.col("style")) / 4, 3))
+    s = v.select("draft_id", ok("format_issues").alias("format"), ok("fact_issues").alias("facts"), F.round("topic_score", 3).alias("topic"), F.round("style_score", 3).alias("style"))
+    return s.withColumn("overall", F.round((F.col("format") + F.col("facts") + F.col("topic") + F.col("style")) / 4, 3))
+
+
+#: Names of the issues of a model's review, and the check that each belongs to.
+REVIEW_ISSUES = {"format_issues": "format", "topic_issues": "topic", "style_issues": "style", "scientific_accuracy_issues": "fact"}
+
+
+def with_review(v: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Verdicts after a model's review (draft_id, review), a JSON object: its issues join those of the rules, a solver's other
+    answer is an issue of fact, its scores replace those of topic and style. A review that is null or no object changes nothing."""
+    listed = lambda n: F.filter(F.transform(F.coalesce(F.from_json(F.get_json_object("review", f"$.{n}"), "array<string>"), F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")
+    out = v.join(reviews.select("draft_id", "review"), "draft_id", "left")
+    for name, check in REVIEW_ISSUES.items():
+        code = F.transform(listed(name), lambda _, n=name: F.lit("llm_" + n.removesuffix("s")))
+        out = out.withColumn(f"{check}_issues", F.concat(f"{check}_issues", code))
+    differs = F.get_json_object("review", "$.solver_answer_matches_expected") == "false"
+    out = out.withColumn("fact_issues", F.concat("fact_issues", F.when(differs, F.array(F.lit("solver_answer_mismatch"))).otherwise(F.array().cast("array<string>"))))
+    for c in ("topic_score", "style_score"):
+        out = out.withColumn(c, F.coalesce(F.get_json_object("review", f"$.{c}").try_cast("double"), F.col(c)))
+    return out.drop("review").withColumn("verdict", verdict(F.col("fact_issues"), F.col("format_issues"), F.col("answer_issues"), F.col("topic_issues"), F.col("style_issues")))

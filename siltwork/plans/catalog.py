@@ -72,7 +72,8 @@ def hash_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 def held_out_split(spark: SparkSession, d: str) -> DataFrame:
-    held = table(spark, d, "sft_examples").where("metadata.split = 'held_out'").select(F.col("metadata.source_question_id").alias("question_id"))
+    spelled = F.regexp_replace(F.lower("metadata.split"), "[^a-z]+", "").isin("heldout", "holdout")
+    held = table(spark, d, "sft_examples").where(spelled).select(F.col("metadata.source_question_id").alias("question_id"))
     return curate.with_splits(curate.dedupe(_candidates(spark, d).where("reason is null")), held).select("question_id", "split")
 
 
@@ -222,13 +223,17 @@ def draft_issues(spark: SparkSession, d: str) -> DataFrame:
     return x.select("draft_id", j(verify.format_issues(x)).alias("format_issues"), j(verify.answer_issues(x)).alias("answer_issues"), j(verify.style_issues(x)).alias("style_issues"))
 
 
+def _verdicts(spark: SparkSession, d: str) -> DataFrame:
+    return verify.verdicts(table(spark, d, "drafts"), table(spark, d, "textbook_chunks"), table(spark, d, "questions"))
+
+
 def draft_verdicts(spark: SparkSession, d: str) -> DataFrame:
-    v = verify.verdicts(table(spark, d, "drafts"), table(spark, d, "textbook_chunks"))
-    return v.select("draft_id", F.array_join("fact_issues", ",").alias("fact_issues"), "verdict")
+    v = _verdicts(spark, d)
+    return v.select("draft_id", F.array_join("fact_issues", ",").alias("fact_issues"), F.array_join("topic_issues", ",").alias("topic_issues"), F.array_join("suspect_chunks", ",").alias("suspect_chunks"), "verdict")
 
 
 def draft_scores(spark: SparkSession, d: str) -> DataFrame:
-    return verify.display_scores(verify.verdicts(table(spark, d, "drafts"), table(spark, d, "textbook_chunks")))
+    return verify.display_scores(_verdicts(spark, d))
 
 
 def draft_citations(spark: SparkSession, d: str) -> DataFrame:
@@ -311,9 +316,9 @@ def oracle_sql() -> dict[str, str]:
     reasons = "(values " + ",".join(f"('{r}')" for r in curate.REASONS) + ") t(reason)"
     specs = "(values " + ",".join(f"('{s[0]}','{s[1]}','{s[2]}','{s[3]}',{'null' if s[4] is None else chr(39) + s[4] + chr(39)},{s[5]},{_listed(s[6]) if s[6] else '[]::varchar[]'})" for s in REQUESTS) + ") s(spec_id, category, subcategory, question_type, answer_mode, difficulty, topics)"
     rt = lambda x: f"list_filter({stop(_runs(x), T.RETRIEVAL_STOPWORDS)}, lambda t: len(t) > 1)"
-    names = {n.lower(): n for n in set(retrieve.ALIASES.values())} | retrieve.ALIASES
+    names = retrieve.known_names()
     canon = lambda x: f"coalesce(map_extract(map {{{', '.join(f"'{k}': '{v}'" for k, v in names.items())}}}, lower(trim({x})))[1], trim({x}))"
-    phrases = {n: sorted({n} | {a.upper() if a in ("r&m", "nt") else a for a, v in retrieve.ALIASES.items() if v == n} | set(retrieve.HINTS.get(n, []))) for n in {*retrieve.ALIASES.values(), *retrieve.HINTS}}
+    phrases = retrieve.phrases()
     hints = f"coalesce(map_extract(map {{{', '.join(f"'{k}': {_listed(v)}" for k, v in phrases.items())}}}, {canon('subcategory')})[1], []::varchar[])"
     terms = f"""
         s as (select * from {specs}),
@@ -355,7 +360,10 @@ def oracle_sql() -> dict[str, str]:
     facts = f"""
         d as (select draft_id, unnest(case when len(citations) = 0 then [null] else list_transform(citations, lambda x: x.chunk_id) end) chunk_id from {dr}),
         dd as (select distinct draft_id, chunk_id from d), cf as (select chunk_id, bool_or({_has("lower(coalesce(text, ''))", verify.FRONT_MATTER)}) front from textbook_chunks group by 1),
-        f as (select draft_id, count(dd.chunk_id) n, count(front) known, bool_or(coalesce(front, false)) front from dd left join cf using (chunk_id) group by 1)"""
+        f as (select draft_id, count(dd.chunk_id) n, count(front) known, bool_or(coalesce(front, false)) front, coalesce(array_to_string(list_sort(list(dd.chunk_id) filter (front)), ','), '') suspects from dd left join cf using (chunk_id) group by 1)"""
+    asked = f"list_distinct({_runs(f"question.subcategory || ' ' || {canon('question.subcategory')} || ' ' || array_to_string(coalesce(map_extract(map {{{', '.join(f"'{k}': {_listed(v)}" for k, v in phrases.items())}}}, {canon('question.subcategory')})[1], []::varchar[]), ' ')")})"
+    topic = f"coalesce(len(list_intersect({asked}, {_runs("coalesce(question.question_text, '')")})) / nullif(len({asked}), 0), 0)"
+    matched = "exists (select 1 from questions k where k.category = d.question.category and k.question_type = d.question.question_type)"
     page = f"(select document_id, row_number() over (partition by document_id order by chunk_id) page_no, text from {c})"
     return {
         "fingerprints": f"select question_id, {exact} exact_fingerprint, {near} near_fingerprint from {q}",
@@ -364,7 +372,7 @@ def oracle_sql() -> dict[str, str]:
         "exclusion_counts": f"with {cand} select t.reason, count(question_id) n from {reasons} left join cand using (reason) group by 1",
         "exact_dedupe": f"with {cand} select question_id, efp exact_fingerprint, diff difficulty, dups duplicates from one",
         "hash_split": f"with {cand} select question_id, nfp near_fingerprint, split from sp",
-        "held_out_split": f"""with {cand}, held as (select metadata.source_question_id id from sft_examples where metadata.split = 'held_out'),
+        "held_out_split": f"""with {cand}, held as (select metadata.source_question_id id from sft_examples where regexp_replace(lower(metadata.split), '[^a-z]+', '', 'g') in ('heldout', 'holdout')),
             hg as (select distinct nfp from (select nfp, unnest(ids) id from one) join held using (id))
             select question_id, case when nfp in (select nfp from hg) then 'held_out' else split end split from sp""",
         "curation_counts": f"""with {cand}, r as (select split, category, family, source_id dataset, coalesce(cast(yr as varchar), 'unknown') "year", diff, sub, qmean from sp)
@@ -409,8 +417,12 @@ def oracle_sql() -> dict[str, str]:
                 + case when sm = answer_mode then 0.15 else 0 end + case when {canon('subcategory')} = sc then 0.2 else 0 end + least(0.15, 0.03 * len(style_tags))
                 - 0.8 * len(list_intersect(asked, {rt("coalesce(question_text, '')")})) / len(asked), 6) + 0.0 score from j""",
         "draft_issues": f"select draft_id, {fmt} format_issues, {ans} answer_issues, {sty} style_issues from {dr}",
-        "draft_verdicts": f"""with {facts}, i as (select draft_id, {fmt} || {ans} || {sty} other from {dr}),
-            x as (select draft_id, {rule(("n = 0", "missing_citation"), ("n > 0 and known = 0", "missing_fact_chunk"), ("front", "suspicious_source_chunk"))} fact_issues from f)
-            select draft_id, fact_issues, case when fact_issues <> '' then 'fail' when other <> '' then 'revise' else 'pass' end verdict from x join i using (draft_id)""",
+        "draft_verdicts": f"""with {facts}, i as (select draft_id, {fmt} || {ans} || {sty} other, case when {topic} = 0 then 'topic_mismatch' else '' end topic_issues from {dr}),
+            x as (select draft_id, suspects suspect_chunks, {rule(("n = 0", "missing_citation"), ("n > 0 and known = 0", "missing_fact_chunk"), ("front", "suspicious_source_chunk"))} fact_issues from f)
+            select draft_id, fact_issues, topic_issues, suspect_chunks, case when fact_issues <> '' then 'fail' when other <> '' or topic_issues <> '' then 'revise' else 'pass' end verdict from x join i using (draft_id)""",
+        "draft_scores": f"""with {facts}, x as (select draft_id, case when n = 0 or known = 0 or front then 0.0 else 1.0 end facts from f),
+            i as (select draft_id, case when {fmt} = '' then 1.0 else 0.0 end format, round(least(1.0, 2 * {topic}), 3) topic,
+                  round(greatest(0.0, 1.0 - case when {matched} then 0.0 else 0.1 end - 0.35 * len(list_filter(string_split({sty}, ','), lambda x: x <> ''))), 3) style from {dr} d)
+            select draft_id, cast(format as double) format, cast(facts as double) facts, topic, style, round((format + facts + topic + style) / 4, 3) overall from x join i using (draft_id)""",
         "draft_citations": f"""select distinct draft_id, x.chunk_id, document_id from (select draft_id, unnest(list_transform(citations, lambda z: z.chunk_id)) chunk_id from {dr}) x join {c} c on c.chunk_id = x.chunk_id""",
     }

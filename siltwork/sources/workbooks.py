@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.functions import text as T
+from siltwork.operators.tables import require_unique
+from siltwork.runtime import cut
 from siltwork.sources import schemas
+from siltwork.sources.files import CATEGORIES, STRICT_MODES, STRICT_TYPES, answer_line, strict
 
 _REF = re.compile(r"^([A-Z]+)(\d+)$")
 
@@ -55,6 +58,9 @@ class Book:
                 return to[next(v for k, v in s.attrib.items() if k.endswith("}id"))]
         raise ValueError(f"no sheet {title!r}")
 
+    def modified(self) -> str | None:
+        return next((e.text for e in _all(self.part("docProps/core.xml"), "modified") if e.text), None)
+
     def cells(self, part: str) -> Iterator[tuple[str, str | None, str | None]]:
         for c in _all(self.part(part), "c"):
             inner = {_tag(e): e for e in c}
@@ -169,13 +175,117 @@ def row_means(r: DataFrame) -> DataFrame:
 
 
 def reviewers(c: DataFrame) -> DataFrame:
-    """(file, col, reviewers): authors of the root comments on the header of a column, distinct, sorted without regard to case."""
-    head = c.where(F.col("ref").rlike("^[A-Z]+1$") & F.col("parent_id").isNull() & F.col("author").isNotNull())
-    pairs = head.select("file", T.column_number(F.regexp_extract("ref", "^([A-Z]+)", 1)).alias("col"), F.struct(T.casefold(F.col("author")).alias("k"), F.col("author").alias("a")).alias("p"))
+    """(file, col, reviewers): what the root comments on the header of a column say, else their authors, distinct, sorted without regard to case."""
+    who = F.coalesce(F.nullif(T.squeeze("text"), F.lit("")), T.squeeze("author"))
+    head = c.where(F.col("ref").rlike("^[A-Z]+1$") & F.col("parent_id").isNull()).withColumn("who", who).where("who <> ''")
+    pairs = head.select("file", T.column_number(F.regexp_extract("ref", "^([A-Z]+)", 1)).alias("col"), F.struct(T.casefold(F.col("who")).alias("k"), F.col("who").alias("a")).alias("p"))
     return pairs.groupBy("file", "col").agg(F.transform(F.array_sort(F.collect_set("p")), lambda x: x["a"]).alias("reviewers"))
 
 
+def column_name(c: Column) -> Column:
+    """1 is A, 26 is Z, 27 is AA; up to three letters."""
+    letter = lambda n: F.char(65 + F.pmod(n, F.lit(26)))
+    a, b = c - 1, F.floor((c - 27) / 26)
+    return F.concat(F.when(c > 702, letter(F.floor((c - 703) / 676))).otherwise(""), F.when(c > 26, letter(b)).otherwise(""), letter(a))
+
+
+def times(spark: SparkSession, path: str) -> DataFrame:
+    """(file, sha256, modified): when each workbook says it was changed, else its file's time."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"file": b["path"], "sha256": b["sha256"], "said": [Book(bytes(x)).modified() for x in b["content"]], "changed": b["changed"]})
+
+    f = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", F.sha2("content", 256).alias("sha256"), "content", F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss").alias("changed"))
+    out = f.mapInPandas(run, "file string, sha256 string, said string, changed string")
+    return out.select("file", "sha256", F.coalesce(T.to_time(F.col("said")), F.to_timestamp("changed")).alias("modified"))
+
+
+#: Reasons to skip a row, in the order in which they are tried.
+SKIPS = ["blank", "visual_bonus", "invalid_type", "invalid_format", "missing_required", "invalid_category"]
+
+
+def judged_rows(c: DataFrame) -> DataFrame:
+    """Every row from 2 to a sheet's last, as (file, row, cells, skip): why it is no question, or null; rows without any cell are blank."""
+    top = c.groupBy("file").agg(F.max("row").alias("top")).where("top >= 2")
+    every = top.select("file", F.explode(F.sequence(F.lit(2), "top")).alias("row"))
+    r = every.join(rows(c).select("file", (F.col("ordinal") + 2).alias("row"), "cells"), ["file", "row"], "left").withColumn("cells", F.coalesce("cells", F.create_map().cast("map<string,string>")))
+    cell = lambda n: T.squeeze(F.coalesce(F.try_element_at("cells", F.lit(n)), F.lit("")))
+    filled = F.exists(F.map_values("cells"), lambda v: F.coalesce(v, F.lit("")) != "")
+    known = F.create_map(*[x for k, v in CATEGORIES.items() for x in (F.lit(k), F.lit(v))])
+    named = F.coalesce(F.nullif(cell("Category"), F.lit("")), subject(F.col("file")))
+    r = r.withColumn("category", F.try_element_at(known, T.slug(named)))
+    skip = (
+        F.when(~filled, "blank").when(F.lower(cell("Type")).contains("visual bonus"), "visual_bonus").when(strict(cell("Type"), STRICT_TYPES).isNull(), "invalid_type").when(strict(cell("Format"), STRICT_MODES).isNull(), "invalid_format")
+        .when((cell("Question") == "") | (cell("Answer") == ""), "missing_required").when(F.col("category").isNull(), "invalid_category")
+    )
+    return r.withColumn("skip", skip)
+
+
+def questions(c: DataFrame, source_id: str, judged: DataFrame | None = None) -> DataFrame:
+    """The questions of workbooks: means of the valid ratings, else the cached averages in range, and whether the rating is usable. Two of one id end the query."""
+    j = (judged_rows(c) if judged is None else judged).where("skip is null")
+    cell = lambda n: T.squeeze(F.coalesce(F.try_element_at("cells", F.lit(n)), F.lit("")))
+    j = j.join(row_means(ratings(c)), ["file", "row"], "left")
+    d = F.coalesce("difficulty", T.within(T.to_double(cell("Difficulty")), 1, 7))
+    q = F.coalesce("quality", T.within(T.to_double(cell("Quality")), -1, 1))
+    mode = strict(cell("Format"), STRICT_MODES)
+    choices = F.filter(F.array(*[F.struct(F.lit(x).alias("label"), cell(x).alias("text")) for x in "WXYZ"]), lambda x: x["text"] != "")
+    choices = F.when(mode == "multiple_choice", choices).otherwise(F.array().cast("array<struct<label:string,text:string>>"))
+    sub = F.coalesce(F.nullif(cell("Subcategory"), F.lit("")), F.lit("other"))
+    out = j.withColumns({"choices": choices, "d": d, "q": q, "sub": sub}).select(
+        F.concat(F.lit(source_id + "_"), T.slug(subject(F.col("file"))), F.format_string("_%04d", "row")).alias("question_id"), F.lit("dataset").alias("source_type"), F.lit(source_id).alias("source_id"), "category", F.col("sub").alias("subcategory"),
+        strict(cell("Type"), STRICT_TYPES).alias("question_type"), mode.alias("answer_mode"), F.coalesce(T.half_up(F.col("d")), F.lit(3)).alias("difficulty"), cell("Question").alias("question_text"), answer_line(cell("Answer"), F.col("choices")).alias("answer_text"), "choices",
+        F.struct(T.guidance(cell("Accept")).alias("accept"), T.guidance(cell("Do Not Accept")).alias("do_not_accept")).alias("answer_guidance"), F.when(F.col("sub") != "other", F.array("sub")).otherwise(F.array().cast("array<string>")).alias("content_tags"),
+        F.col("row").alias("source_row"), F.col("d").alias("original_difficulty"), F.col("q").alias("original_quality"), F.nullif(cell("Writer"), F.lit("")).alias("writer"), F.col("file").alias("raw_file"),
+        F.when(F.col("q").isNull(), "unrated").when(F.col("q") >= 0, "rated_usable").otherwise("rated_rejected").alias("review_status"), F.coalesce("invalid", F.lit(0)).alias("invalid_ratings"),
+    )
+    return require_unique(cut(out), "question_id")
+
+
+def reviews(c: DataFrame, notes: DataFrame, asked: DataFrame, when: DataFrame | None = None, tournament: str | None = None) -> DataFrame:
+    """One review for each valid rating of a question, by whoever the column's header names, else by subject, kind and column."""
+    r = ratings(c).where("valid").join(reviewers(notes), ["file", "col"], "left").join(asked.select(F.col("raw_file").alias("file"), F.col("source_row").alias("row"), "question_id"), ["file", "row"])
+    slot = column_name(F.col("col"))
+    label = F.coalesce(F.nullif(F.array_join("reviewers", " / "), F.lit("")), F.concat_ws(" ", subject(F.col("file")), "kind", slot))
+    r = r.join(F.broadcast(when.select("file", "modified")), "file", "left") if when is not None else r.withColumn("modified", F.lit(None).cast("timestamp"))
+    own = F.coalesce(F.nullif(T.slug(label), F.lit("")), F.concat_ws("_", T.slug(subject(F.col("file"))), "kind", F.lower(slot)))
+    value = lambda k: F.when(F.col("kind") == k, F.col("value"))
+    return r.select(
+        F.concat_ws("_", "question_id", "kind", F.lower(slot)).alias("review_id"), "question_id", own.alias("reviewer_id"), F.lit(tournament).alias("tournament"), F.col("modified").alias("review_timestamp"), F.struct(value("quality").alias("quality"), value("difficulty").alias("difficulty")).alias("ratings"),
+        F.col("row").alias("source_row"), F.create_map(F.lit("raw_file"), F.col("file"), F.lit("cell_ref"), F.concat(slot, F.col("row").cast("string")), F.lit("rating_kind"), F.col("kind"), F.lit("rating_slot"), slot).alias("metadata"),
+    )
+
+
 def comment_questions(c: DataFrame, questions: DataFrame) -> DataFrame:
-    """Comments with the question of their row, or null."""
-    q = questions.select("source_row", F.col("question_id").alias("_q")).groupBy("source_row").agg(F.max("_q").alias("question_id"))
-    return c.withColumn("source_row", F.regexp_extract("ref", r"(\d+)$", 1).try_cast("int")).join(q, "source_row", "left")
+    """Comments with text on a cell, with the question of their row and workbook, or null."""
+    by = ["file", "source_row"] if "raw_file" in questions.columns else ["source_row"]
+    q = questions.withColumnRenamed("raw_file", "file") if "raw_file" in questions.columns else questions
+    q = q.groupBy(*by).agg(F.max("question_id").alias("question_id"))
+    told = c.where((F.col("text") != "") & F.col("ref").rlike("^[A-Z]+[0-9]+$"))
+    return told.withColumn("source_row", F.regexp_extract("ref", r"(\d+)$", 1).try_cast("int")).join(q, by, "left")
+
+
+def summary(judged: DataFrame, asked: DataFrame, given: DataFrame, told: DataFrame) -> DataFrame:
+    """Per workbook the counts of questions, reviews, comments, ratings that are not valid, choices that are not four, and skipped rows by reason."""
+    n = lambda cond, name: F.count_if(cond).alias(name)
+    rows_ = judged.groupBy("file").agg(F.max("row").alias("last_row"), *[n(F.col("skip") == k, f"skipped_{k}") for k in SKIPS])
+    q = asked.groupBy(F.col("raw_file").alias("file")).agg(
+        F.count(F.lit(1)).alias("questions"), F.count("original_difficulty").alias("rated_difficulty"), F.count("original_quality").alias("rated_quality"), F.sum("invalid_ratings").alias("invalid_ratings"),
+        n((F.col("answer_mode") == "multiple_choice") & (F.size("choices") != 4), "malformed_multiple_choice"),
+    )
+    r = given.groupBy(F.col("metadata")["raw_file"].alias("file")).agg(F.count(F.lit(1)).alias("reviews"))
+    t = told.groupBy("file").agg(F.count(F.lit(1)).alias("comments"))
+    out = rows_.join(q, "file", "left").join(r, "file", "left").join(t, "file", "left")
+    return out.na.fill(0).withColumn("unrated_quality", F.col("questions") - F.col("rated_quality"))
+
+
+def read_workbooks(spark: SparkSession, path: str, source_id: str, tournament: str | None = None) -> dict[str, DataFrame]:
+    """questions, reviews, comments and summary of all workbooks in a folder; none there is an error."""
+    if _files(spark, path).select("path").isEmpty():
+        raise ValueError(f"no workbooks in {path}")
+    c, notes = cut(cells(spark, path)), cut(comments(spark, path))
+    judged = cut(judged_rows(c))
+    asked = questions(c, source_id, judged)
+    given, told = cut(reviews(c, notes, asked, times(spark, path), tournament)), cut(comment_questions(notes, asked))
+    return {"questions": asked, "reviews": given, "comments": told, "summary": summary(judged, asked, given, told)}

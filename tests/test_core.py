@@ -290,10 +290,37 @@ def test_jobs_and_drafts(spark):
         generate.Job("energy")
     with pytest.raises(ValueError):
         generate.Job("math", difficulty=9)
+    assert jobs[1].job_id == "physics_optics_bonus_writer_selected_4" and jobs[0].job_id == "math_random_subcategory_random_question_type_writer_selected_random_difficulty"
+    with pytest.raises(ValueError, match="required"):
+        generate.job_of({"category": "math", "difficulty": 3})
     got = generate.with_model(spark.createDataFrame([("1", "p")], "id string, prompt string"), lambda: lambda p: p.upper()).first()
     assert got.reply == "P"
 
 
+def test_batch_from_a_configuration(spark, tmp_path):
+    q = [{"question_id": f"q{i}", "category": "physics", "question_type": "tossup", "subcategory": "Optics", "question_text": f"Why does lens {i} bend light?", "answer_text": "ANSWER: index", "style_tags": [], "source_metadata": {}, "source_id": "nsb_1"} for i in range(8)]
+    c = [{"chunk_id": f"c{i}", "document_id": f"d{i % 2}", "text": f"A lens of kind {i} bends light by refraction.", "topics": ["optics"], "pages": [1]} for i in range(8)]
+    for name, rows in (("q", q), ("c", c)):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    config = {"output_path": str(tmp_path / "out"), "style_questions_path": str(tmp_path / "q.jsonl"), "textbook_chunks_path": str(tmp_path / "c.jsonl"), "random_seed": 7, "jobs": [{"category": "physics", "subcategory": "Optics", "difficulty": 3, "count": 2, "topic_focus": ["lens"]}]}
+    (tmp_path / "job.json").write_text(json.dumps(config))
+    one, two = generate.run_config(spark, str(tmp_path / "job.json"))
+    assert not set(one["facts"]) & set(two["facts"]) and not set(one["styles"]) & set(two["styles"]) and len(one["facts"]) == 3
+    assert one["model"] == "heuristic" and one["question"]["answer_text"] == "ANSWER: lens" and one["verdict"] in ("pass", "revise")
+    saved = spark.read.json(str(tmp_path / "out")).collect()
+    assert sorted(r.draft_id for r in saved) == ["draft_spec_000001", "draft_spec_000002"]
+    specs = generate.expand_jobs(spark, [generate.Job("physics", 1, "Optics", "bonus", 3, ["lens"])])
+    chunks, questions = spark.read.json(str(tmp_path / "c.jsonl")).withColumns({"chapter": F.lit(None).cast("string"), "section": F.lit(None).cast("string")}), generate.files.read_jsonl(spark, str(tmp_path / "q.jsonl"), generate.schemas.QUESTION)
+    reply = '{"draft":{"question":"Which of the following bends?","answer":"ANSWER: W) lens"},"choices":["W) lens","X) b","Y) c","Z) d"],"citation_chunk_ids":["zz"]}'
+    good = generate.run_in_order(spark, specs, chunks, questions, writer=lambda s, b: reply)[0]
+    assert good["model"] == "writer" and good["question"]["answer_mode"] == "multiple_choice" and good["verdict"] == "fail"  # no citation
+    bad = generate.run_in_order(spark, specs, chunks, questions, writer=lambda s, b: 1 / 0)[0]
+    assert bad["model"] == "fallback" and bad["question"]["question_text"].endswith("Z) option four")
+    assert generate.Service.of("writer", {}) is None and generate.Service.of("writer", {"WRITER_MODEL": "m", "WRITER_URL": "u"}, timeout=5).timeout == 5.0
+    v = generate.prompt_values(specs, generate.retrieve.bundles(chunks, questions, specs), chunks, questions).first()
+    assert v.facts.startswith("- [c") and v.subcategory_guidance == "none" and v.answer_mode == "writer_selected"
+
+
 def test_log_in_batch_and_stream(spark, tmp_path):
     rows = [("a", 1, 5.0), ("a", 3, None), ("b", 2, 1.0), ("c", 9, 2.0), (None, 1, 1.0)]
     df = spark.createDataFrame(rows, "key string, seq int, v double")

@@ -110,7 +110,18 @@ def test_workbook(spark, tmp_path):
     assert (m.difficulty, m.quality, m.invalid) == (3.0, 1.0, 1)
     n = workbooks.comments(spark, str(tmp_path)).cache()
     assert {(x.ref, x.author, x.kind) for x in n.collect()} == {("P1", "Bo", "threaded"), ("D2", "Old", "note")}
-    assert workbooks.reviewers(n).first().reviewers == ["Bo"]
+    assert workbooks.reviewers(n).first().reviewers == ["Me"]
     assert c.select(workbooks.subject("file")).first()[0] == "Math"
+    got = workbooks.read_workbooks(spark, str(tmp_path), "w26", "Cup")
+    asked = got["questions"].collect()
+    assert [(x.question_id, x.difficulty, x.original_quality, x.review_status, x.invalid_ratings) for x in asked] == [("w26_math_0002", 3, 1.0, "rated_usable", 1)]
+    assert {(x.review_id, x.reviewer_id, x.ratings.quality, x.ratings.difficulty) for x in got["reviews"].collect()} == {("w26_math_0002_difficulty_p", "me", None, 3.0), ("w26_math_0002_quality_r", "math_quality_r", 1.0, None)}
+    assert {(x.ref, x.question_id) for x in got["comments"].collect()} == {("P1", None), ("D2", "w26_math_0002")}
+    s = got["summary"].first()
+    assert (s.questions, s.reviews, s.comments, s.skipped_invalid_format, s.skipped_blank, s.unrated_quality) == (1, 2, 2, 1, 0, 0)
+    assert [r[0] for r in spark.createDataFrame([(1,), (26,), (27,), (702,), (703,)], "n int").select(workbooks.column_name(F.col("n"))).collect()] == ["A", "Z", "AA", "ZZ", "AAA"]
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError, match="no workbooks"):
+        workbooks.read_workbooks(spark, str(tmp_path / "none"), "w")
     with pytest.raises(Exception, match="no sheet"):
         workbooks.cells(spark, str(tmp_path), "Nope").collect()
