@@ -159,6 +159,7 @@ def violations(e: DataFrame) -> DataFrame:
     keys = F.json_object_keys(last)
     code = (
         F.when(F.coalesce(roles, F.lit("")) != "system,user,assistant", "roles").when(F.exists(m, lambda x: T.squeeze(F.coalesce(x["content"], F.lit(""))) == ""), "empty_message").when(keys.isNull(), "invalid_json")
-        .when(F.array_join(F.array_sort(keys), ",") != "answer_text,choices,question_text", "shape").when(~F.coalesce(F.get_json_object(last, "$.answer_text"), F.lit("")).startswith("ANSWER:"), "answer_prefix")
+        .when(F.array_join(F.array_sort(keys), ",") != "answer_text,choices,question_text", "shape").when(T.squeeze(F.coalesce(F.get_json_object(last, "$.question_text"), F.lit(""))) == "", "empty_question").when(~F.coalesce(F.get_json_object(last, "$.answer_text"), F.lit("")).startswith("ANSWER:"), "answer_prefix")
+        .when(~F.coalesce(F.get_json_object(last, "$.choices"), F.lit("")).startswith("["), "choices")
     )
     return e.select("example_id", code.alias("violation"), n.alias("messages"))

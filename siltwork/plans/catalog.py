@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.functions import text as T
 from siltwork.operators import curate, pages, retrieve, tables, verify
-from siltwork.runtime import table
+from siltwork.runtime import cut, table
+from siltwork.sources import files, schemas, workbooks
 from siltwork.streaming import reviews as log
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,7 @@ def _questions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Each chunk's newest delivery. The choice needs a key, a time and a hash of the row; whole rows move once, to meet it."""
     return tables.newest(table(spark, d, "textbook_chunks").where("chunk_id is not null"), ["chunk_id"], "loaded_at")
 
 
@@ -214,7 +216,10 @@ def diverse_facts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def retrieval_bundles(spark: SparkSession, d: str) -> DataFrame:
-    return retrieve.bundles(_chunks(spark, d), _questions(spark, d), _specs(spark))
+    """Both ranked lists of each request's bundle, as rows."""
+    b = retrieve.bundles(_chunks(spark, d), _questions(spark, d), _specs(spark))
+    one = lambda c, i, kind: b.select("spec_id", F.lit(kind).alias("kind"), F.explode(c).alias("x")).select("spec_id", "kind", F.col(f"x.{i}").alias("id"), "x.place", (F.round("x.score", 6) + 0.0).alias("score"))
+    return one("fact_chunks", "chunk_id", "fact").union(one("style_examples", "question_id", "style"))
 
 
 def draft_issues(spark: SparkSession, d: str) -> DataFrame:
@@ -241,6 +246,113 @@ def draft_citations(spark: SparkSession, d: str) -> DataFrame:
     return x.select("draft_id", F.explode(F.array_distinct(F.transform("citations", lambda c: c["chunk_id"]))).alias("chunk_id")).join(_chunks(spark, d).select("chunk_id", "document_id"), "chunk_id").select("draft_id", "chunk_id", "document_id")
 
 
+def _numbered(df: DataFrame, file: str, key: str) -> DataFrame:
+    """Rows with `file` and `ordinal`, their place in it by `key`."""
+    from pyspark.sql import Window
+
+    return df.withColumn("file", F.expr(file)).withColumn("ordinal", F.row_number().over(Window.partitionBy("file").orderBy(key)) - 1)
+
+
+#: What the questions look like as a hand-made sheet; the SQL has the same expressions.
+SHEET = {
+    "Type": "case when difficulty = 7 then 'Visual Bonus' else upper(question_type) end", "Category": "case category when 'earth_space' then 'Earth Science' when 'energy' then 'Machine Learning' else upper(category) end", "Format": "replace(answer_mode, '_', ' ')",
+    "Question": "question_text", "Answer": "case when answer_mode = 'multiple_choice' then substr(answer_text, 9, 1) else substr(answer_text, 9) end", "Subcategory": "subcategory", "Difficulty": "case when difficulty = 2 then '#DIV/0!' else cast(source_metadata.original_difficulty as varchar(20)) end",
+    "Quality": "cast(source_metadata.original_quality as varchar(20))",
+}
+
+
+def _sheet(spark: SparkSession, d: str) -> DataFrame:
+    q = _numbered(_questions(spark, d), "concat('sheet_', category)", "question_id")
+    named = [x for k, e in SHEET.items() for x in (F.lit(k), F.expr(e).cast("string"))]
+    labels = [x for i, a in enumerate("WXYZ") for x in (F.lit(a), F.try_element_at("choices", F.lit(i + 1))["text"])]
+    return q.select("file", "ordinal", F.create_map(*named, *labels).alias("cells"))
+
+
+def sheet_questions(spark: SparkSession, d: str) -> DataFrame:
+    """Questions of sheets: strict and lenient readings of type, mode, category, choices, answers and numbers, ids by kept rows."""
+    q = files.questions_from_tables(_sheet(spark, d), "set")
+    return q.select("question_id", "category", "subcategory", "question_type", "answer_mode", "difficulty", "answer_text", "source_row", F.size("choices").alias("choices"), "original_difficulty", "original_quality")
+
+
+def _place(c: str) -> Column:
+    """A place in a file, by a hash of the id."""
+    return F.conv(F.substring(F.md5(F.col(c)), 1, 8), 16, 10).cast("long")
+
+
+def _ordered(spark: SparkSession, d: str) -> DataFrame:
+    q = _questions(spark, d).withColumn("ordinal", _place("question_id"))
+    return q.select("question_id", "question_text", "ordinal", (F.col("ordinal") % 50 + 1).cast("int").alias("source_row"))
+
+
+def rating_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Ratings of tables, linked by source row to the last question that has it."""
+    r = table(spark, d, "reviews").select("review_id", "reviewer_id", "ratings").distinct()
+    row = (_place("review_id") % 50 + 1).cast("string")
+    cells = F.create_map(F.lit("Source Row"), row, F.lit("Reviewer"), F.col("reviewer_id"), F.lit("Quality Rating"), F.coalesce(F.col("ratings.quality").cast("string"), F.lit("?")), F.lit("Difficulty"), F.col("ratings.difficulty").cast("string"))
+    out = files.reviews_from_tables(r.select(F.lit("ratings").alias("file"), F.lit(0).alias("ordinal"), cells.alias("cells")), _ordered(spark, d))
+    return out.groupBy("question_id", "reviewer_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("ratings.quality"), 6).alias("quality"), F.round(F.sum("ratings.difficulty"), 6).alias("difficulty"))
+
+
+def text_ratings(spark: SparkSession, d: str) -> DataFrame:
+    """Ratings of sheets, linked by text to the last question that has it."""
+    out = files.sheet_ratings(_sheet(spark, d), _ordered(spark, d))
+    return out.select("question_id", "reviewer_id", "ratings.quality", "ratings.difficulty", F.col("metadata")["sheet_row"].alias("sheet_row"), F.col("metadata")["raw_file"].alias("raw_file"))
+
+
+def _workbooks(spark: SparkSession, d: str) -> DataFrame:
+    """The sheets as cells of workbooks, with two difficulty columns and one of quality beside."""
+    s = _sheet(spark, d).withColumn("file", F.concat(F.lit("2026 "), F.substring("file", 7, 99), F.lit(" Question Writing.xlsx")))
+    fixed = [F.struct(F.lit(i + 1).alias("col"), F.try_element_at("cells", F.lit(n)).alias("value")) for i, n in enumerate(workbooks.COLUMNS)]
+    rated = [F.struct(F.lit(c).alias("col"), F.try_element_at("cells", F.lit(n)).alias("value")) for c, n in ((16, "Difficulty"), (18, "Quality"))]
+    own = F.struct(F.lit(17).alias("col"), (F.length("cells.Question") % 9).cast("string").alias("value"))
+    rows = s.select("file", (F.col("ordinal") + 2).cast("int").alias("row"), F.explode(F.array(*fixed, *rated, own)).alias("c")).select("file", "row", "c.col", "c.value")
+    head = s.select("file").distinct().select("file", F.lit(1).alias("row"), F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.lit(n).alias("value")) for c, n in ((16, "D1"), (17, "d2"), (18, "Q1"))])).alias("c")).select("file", "row", "c.col", "c.value")
+    cells = rows.union(head).where("value is not null")
+    return cells.select("file", F.concat(workbooks.column_name(F.col("col")), F.col("row").cast("string")).alias("ref"), "row", "col", "value", F.lit(None).cast("string").alias("formula"))
+
+
+def workbook_questions(spark: SparkSession, d: str) -> DataFrame:
+    q = workbooks.questions(_workbooks(spark, d), "wb")
+    return q.select("question_id", "category", "difficulty", F.round("original_difficulty", 6).alias("original_difficulty"), F.round("original_quality", 6).alias("original_quality"), "review_status", "invalid_ratings", "answer_text")
+
+
+def workbook_skips(spark: SparkSession, d: str) -> DataFrame:
+    return workbooks.judged_rows(_workbooks(spark, d)).groupBy("file", F.coalesce("skip", F.lit("kept")).alias("skip")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def workbook_reviews(spark: SparkSession, d: str) -> DataFrame:
+    c = cut(_workbooks(spark, d))
+    notes = spark.createDataFrame([], schemas.COMMENT)
+    r = workbooks.reviews(c, notes, workbooks.questions(c, "wb"))
+    return r.select("review_id", "question_id", "reviewer_id", "ratings.quality", "ratings.difficulty", F.col("metadata")["cell_ref"].alias("cell_ref"))
+
+
+def value_parses(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers, times, flags and column letters out of text, and what isn't one."""
+    r = table(spark, d, "reviews").select("review_id", "review_timestamp", "ratings.difficulty", "ratings.quality").distinct()
+    raw = F.when(F.col("quality") < 0, "n/a").when(F.col("difficulty").isNull(), "#DIV/0!").otherwise(F.concat(F.lit(" "), F.col("difficulty").cast("string"), F.lit(" ")))
+    said = F.concat(F.date_format("review_timestamp", "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("quality") > 0, "Z").when(F.col("quality") < 0, "+02:00").otherwise(""))
+    letters = F.upper(F.substring(F.sha1("review_id"), 1, 2))
+    letters = F.translate(letters, "0123456789", "GHIJKLMNOP")
+    rows = r.select("review_id", "difficulty", "quality", raw.alias("raw"), said.alias("said"), letters.alias("letters"))
+    return rows.select("review_id", T.to_double(F.col("raw")).alias("number"), T.to_int(F.col("raw")).alias("whole"), T.within(T.to_double(F.col("raw")), 2, 5).alias("ranged"), T.half_up(F.col("difficulty")).alias("up"), T.to_time(F.col("said")).cast("string").alias("at"), T.to_flag(F.col("quality").cast("int").cast("string")).alias("flag"), T.column_number(F.col("letters")).alias("col"))
+
+
+def question_likeness(spark: SparkSession, d: str) -> DataFrame:
+    """Jaccard similarity of each draft's question and the cited texts, and the cited share of the question's terms."""
+    x = tables.newest(table(spark, d, "drafts").where("draft_id is not null"), ["draft_id"], "loaded_at").select("draft_id", "question.question_text", F.explode("citations.chunk_id").alias("chunk_id")).distinct()
+    j = x.join(_chunks(spark, d).select("chunk_id", "text"), "chunk_id")
+    a, b = F.array_distinct(T.retrieval_tokens(F.coalesce("question_text", F.lit("")))), F.array_distinct(T.retrieval_tokens(F.coalesce("text", F.lit(""))))
+    return j.select("draft_id", "chunk_id", F.round(T.jaccard(a, b), 6).alias("jaccard"), F.round(T.overlap(a, b), 6).alias("overlap"))
+
+
+def first_deliveries(spark: SparkSession, d: str) -> DataFrame:
+    """Each chunk id once, its first delivery, the ids of both tables in one."""
+    c = tables.first_by(table(spark, d, "textbook_chunks").where("chunk_id is not null").select("chunk_id", "loaded_at", F.char_length(F.coalesce("text", F.lit(""))).alias("chars")), ["chunk_id"], "loaded_at", "chars")
+    q = table(spark, d, "questions").where("question_id is not null").select(F.col("question_id").alias("id"), "loaded_at")
+    return c.select(F.col("chunk_id").alias("id"), "loaded_at").union(tables.first_by(q, ["id"], "loaded_at")).select("id", F.col("loaded_at").cast("string").alias("loaded_at"))
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if callable(f) and getattr(f, "__module__", "") == __name__ and k[0] != "_" and k not in ("queries", "oracle_sql")}
 
@@ -248,6 +360,9 @@ def queries() -> dict[str, Query]:
 _WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 
+_BREAKS = r"\r\n|[\n\r\x0b\f\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
+
+
 def _sq(c: str) -> str:
     return f"trim(regexp_replace({c}, '{_WS}+', ' ', 'g'))"
 
@@ -336,6 +451,28 @@ def oracle_sql() -> dict[str, str]:
         tq as (select spec_id, count(*) filter (weight >= 3) asked from qt group by 1),
         sc as (select spec_id, chunk_id, sum(part) score from h join tq using (spec_id) group by spec_id, chunk_id, asked having count(*) filter (weight >= 1) >= 1 and
                count(*) filter (weight >= 3) >= case when asked = 0 then 0 when asked <= 2 then 1 else least(3, ceil(asked / 3)) end)"""
+    style = f"""gs as (select spec_id, question_id id, list_distinct({rt("coalesce(question_text, '')")}) tok, case when family = 'mit' then case when yr >= 2024 then 1.2 else 0.5 end when family = 'official_nsb' then 0.25 else 0.0 end
+                + coalesce(0.4 * greatest(-1.0, least(1.0, source_metadata.original_quality)), 0) - coalesce(0.25 * abs(source_metadata.original_difficulty - sd), 0)
+                + case when sm = answer_mode then 0.15 else 0 end + case when {canon('subcategory')} = sc then 0.2 else 0 end + least(0.15, 0.03 * len(style_tags)) - 0.8 * len(list_intersect(asked, {rt("coalesce(question_text, '')")})) / len(asked) score
+            from (select s.spec_id, s.difficulty sd, s.answer_mode sm, {canon('s.subcategory')} sc, a.asked, q.*, {fam.replace('source_id', 'q.source_id')} family, coalesce(q.source_metadata.year, cast(coalesce({y('q.source_id')}, {y('q.source_metadata.tournament')}) as int)) yr
+                  from s left join a using (spec_id) join {q} q on q.category = s.category and q.question_type = s.question_type))"""
+    bm += f""", fs as (select spec_id, sc.chunk_id id, list_distinct({rt("coalesce(text, '')")}) tok, score from sc join {c} c on c.chunk_id = sc.chunk_id where score >= {retrieve.FLOOR})"""
+
+    def picks(name: str, source: str, key: str) -> str:
+        like = lambda o: f"coalesce(len(list_intersect(tok, {o}.tok)) / nullif(len(tok) + len({o}.tok) - len(list_intersect(tok, {o}.tok)), 0), 0)"
+        best = lambda v, src: f"(select * from (select *, row_number() over (partition by spec_id order by {v} desc, score desc, id) rn from {src}) where rn = 1)"
+        one, two, three = (f"{name}{i}" for i in (1, 2, 3))
+        first = f"{one} as {best('score', source)}, {name}b as (select {source}.*, {like(one).replace('(tok', f'({source}.tok')} l1 from {source} join {one} using (spec_id) where {source}.id <> {one}.id)"
+        second = f"{two} as {best('score - 0.25 * l1', f'{name}b')}, {name}c as (select {name}b.*, greatest({name}b.l1, {like(two).replace('(tok', f'({name}b.tok')}) l2 from {name}b join {two} using (spec_id) where {name}b.id <> {two}.id)"
+        return f"{first}, {second}, {three} as {best('score - 0.25 * l2', f'{name}c')}, {name} as (select spec_id, id, 1 place, score from {one} union all select spec_id, id, 2, score from {two} union all select spec_id, id, 3, score from {three})"
+
+    place = lambda x: f"('0x' || substr(md5({x}), 1, 8))::bigint"
+    sheet = f"""with sh as (select *, 'sheet_' || category file, row_number() over (partition by category order by question_id) - 1 ordinal, {SHEET['Type']} type, {SHEET['Format']} format, {_sq(f"coalesce({SHEET['Question']}, '')")} q,
+        {_sq(f"coalesce({SHEET['Answer']}, '')")} a, {SHEET['Category']} cat, case when difficulty = 2 then null else source_metadata.original_difficulty end d, source_metadata.original_quality ql from {q})"""
+    book = f"""{sheet}, bs as (select *, case when type = 'Visual Bonus' then 'visual_bonus' when q = '' or a = '' then 'missing_required' end skip from (select * exclude (file, ql), '2026 ' || category || ' Question Writing.xlsx' file, ordinal + 2 as row, format = 'multiple choice' mc, ql q0,
+            case when format = 'multiple choice' then list_filter(choices, lambda x: {_sq('x.text')} <> '') else [] end ch, d d1, cast(length(question_text) % 9 as double) d2, ql q1, difficulty = 2 as unread from sh)),
+        bq as (select 'wb_' || regexp_replace(category, '[^a-z]+', '_') || '_' || lpad(row::varchar, 4, '0') question_id, category, row, mc, ch, a, d1, d2, q1, coalesce(list_avg(list_filter([d1, d2], lambda x: x between 1 and 7)), case when d1 between 1 and 7 then d1 end) d,
+            case when q1 between -1 and 1 then q1 end ql, (unread or coalesce(not d1 between 1 and 7, false))::int + coalesce(not d2 between 1 and 7, false)::int + coalesce(not q1 between -1 and 1, false)::int invalid from bs where skip is null)"""
     low, core = "lower(trim(coalesce(question.question_text, '')))", "trim(replace(coalesce(question.answer_text, ''), 'ANSWER:', ''))"
     mc = "question.answer_mode = 'multiple_choice'"
     direct = "(" + " or ".join(f"starts_with({low}, '{s}')" for s in verify.DIRECT) + f") and not {_has(low, verify.CONCEPTUAL)}"
@@ -424,5 +561,49 @@ def oracle_sql() -> dict[str, str]:
             i as (select draft_id, case when {fmt} = '' then 1.0 else 0.0 end format, round(least(1.0, 2 * {topic}), 3) topic,
                   round(greatest(0.0, 1.0 - case when {matched} then 0.0 else 0.1 end - 0.35 * len(list_filter(string_split({sty}, ','), lambda x: x <> ''))), 3) style from {dr} d)
             select draft_id, cast(format as double) format, cast(facts as double) facts, topic, style, round((format + facts + topic + style) / 4, 3) overall from x join i using (draft_id)""",
+        "subcategories": f"""select {canon('subcategory')} subcategory, count(*) n, max(case when trim(subcategory) = '' then 0 else len(list_distinct([trim(subcategory), {canon('subcategory')}] || {hints})) end) phrases from {q} where subcategory is not null group by 1""",
+        "chat_examples": f"""with {cand} select 'clean_sft_' || regexp_replace(regexp_replace(lower({_sq('question_id')}), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') example_id,
+            concat_ws(chr(10), 'Category: ' || category, 'Type: ' || question_type, 'Subcategory: ' || sub, 'Difficulty: ' || diff, case when len(content_tags) > 0 then 'Topic focus: ' || array_to_string(content_tags, ', ') end, 'Write one new question. Return only JSON.') request, split from sp""",
+        "example_violations": f"""with e as (select * exclude (rn) from (select *, row_number() over (partition by example_id order by loaded_at desc) rn from sft_examples where example_id is not null) where rn = 1),
+            l as (select example_id, messages, messages[-1].content c from e), k as (select *, case when json_valid(c) and json_type(try_cast(c as json)) = 'OBJECT' then try_cast(c as json) end j from l)
+            select example_id, len(messages) messages, case when coalesce(array_to_string(list_transform(messages, lambda m: m.role), ','), '') <> 'system,user,assistant' then 'roles'
+                when len(list_filter(messages, lambda m: {_sq("coalesce(m.content, '')")} = '')) > 0 then 'empty_message' when j is null then 'invalid_json'
+                when array_to_string(list_sort(json_keys(j)), ',') <> 'answer_text,choices,question_text' then 'shape' when {_sq("coalesce(json_extract_string(j, '$.question_text'), '')")} = '' then 'empty_question'
+                when not starts_with(coalesce(json_extract_string(j, '$.answer_text'), ''), 'ANSWER:') then 'answer_prefix' when json_type(j, '$.choices') <> 'ARRAY' then 'choices' end violation from k""",
+        "page_lines": f"""with x as (select document_id, page_no, unnest(string_split_regex(text, '{_BREAKS}')) raw, generate_subscripts(string_split_regex(text, '{_BREAKS}'), 1) pos from {page}),
+            y as (select *, {_sq('raw')} line, {_fold(_sq('raw'))} low, {_sq('raw')} <> '' filled from x),
+            k as (select *, sum(filled::int) over w k, filled and regexp_matches(low, '{pages.PROMPT}') prompt from y window w as (partition by document_id, page_no order by pos)),
+            m as (select *, max(case when prompt then k end) over (partition by document_id, page_no order by pos) marker from k),
+            s as (select *, coalesce(prompt or (filled and k - marker <= 2), false) skipped from m),
+            f as (select *, filled and not skipped and (regexp_matches(low, '\\b(am|pm)\\b') and regexp_matches(low, '\\d+/\\d+/\\d+') or {' or '.join(f"regexp_matches(low, '{p}')" for p in pages.FURNITURE)}) furniture from s),
+            t as (select *, bool_or(filled and not skipped and not furniture and regexp_matches(low, '{pages.REVIEW_SECTION}')) over (partition by document_id, page_no order by pos) stop from f)
+            select document_id, page_no, count(*) lines, sum(length(line)) chars from t where filled and not skipped and not furniture and not stop and not regexp_matches(low, '{pages.EXERCISE}') group by 1, 2""",
+        "diverse_facts": f"with {bm}, {picks('f', 'fs', 'chunk_id')} select spec_id, id chunk_id, place, round(score, 6) score from f",
+        "retrieval_bundles": f"""with {bm}, {picks('f', 'fs', 'chunk_id')}, a as (select spec_id, list(term) asked from qt group by 1), {style}, {picks('g', 'gs', 'question_id')}
+            select spec_id, 'fact' kind, id, place, round(score, 6) + 0.0 score from f union all select spec_id, 'style', id, place, round(score, 6) + 0.0 from g""",
+        "sheet_questions": f"""{sheet}, k as (select *, row_number() over (order by file, ordinal) n from sh where type <> 'Visual Bonus' and q <> '' and a <> '' and cat <> ''), c as (select *, format = 'multiple choice' mc, case when format = 'multiple choice' then list_filter(choices, lambda x: {_sq('x.text')} <> '') else [] end ch from k)
+            select 'set_' || lpad(n::varchar, 4, '0') question_id, category, case when {_sq("coalesce(subcategory, '')")} = '' then 'other' else {_sq("coalesce(subcategory, '')")} end subcategory, question_type, case when mc then 'multiple_choice' else 'short_answer' end answer_mode,
+            cast(case when d between 1 and 7 then round_even(d, 0) else 3 end as int) difficulty, case when mc and len(list_filter(ch, lambda x: x.label = a)) > 0 then 'ANSWER: ' || a || ') ' || {_sq('list_filter(ch, lambda x: x.label = a)[1].text')} else 'ANSWER: ' || a end answer_text,
+            cast(ordinal + 1 as int) source_row, len(ch) choices, d original_difficulty, ql original_quality from c""",
+        "rating_rows": f"""with o as (select question_id, {place('question_id')} k from {q}), l as (select k % 50 + 1 source_row, arg_max(question_id, k) question_id from o group by 1),
+            r as (select *, {place('review_id')} k from (select distinct review_id, reviewer_id, ratings from reviews))
+            select question_id, coalesce(nullif(regexp_replace(regexp_replace(lower({_sq('reviewer_id')}), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), reviewer_id) reviewer_id, count(*) n, round(sum(ratings.quality), 6) quality, round(sum(ratings.difficulty), 6) difficulty
+            from r join l on l.source_row = r.k % 50 + 1 group by 1, 2""",
+        "text_ratings": f"""{sheet}, o as (select question_id, question_text, {place('question_id')} k from {q}), l as (select lower({_sq('question_text')}) t, arg_max(question_id, k) question_id from o where {_sq('question_text')} <> '' group by 1)
+            select l.question_id, 'aggregate_sheet_ratings' reviewer_id, case when ql between -1 and 1 then ql end quality, case when d between 1 and 7 then d end difficulty, cast(ordinal + 1 as varchar) sheet_row, file raw_file
+            from sh join l on l.t = lower(q) where type <> 'Visual Bonus' and (ql between -1 and 1 or d between 1 and 7)""",
+        "workbook_questions": f"""{book} select question_id, category, cast(case when d is null then 3 else greatest(1, least(7, floor(d + 0.5))) end as int) difficulty, round(d, 6) original_difficulty, round(ql, 6) original_quality, case when ql is null then 'unrated' when ql >= 0 then 'rated_usable' else 'rated_rejected' end review_status,
+            invalid invalid_ratings, case when mc and len(list_filter(ch, lambda x: x.label = upper(a))) > 0 then 'ANSWER: ' || upper(a) || ') ' || {_sq('list_filter(ch, lambda x: x.label = upper(a))[1].text')} else 'ANSWER: ' || a end answer_text from bq""",
+        "workbook_skips": f"{book} select file, coalesce(skip, 'kept') skip, count(*) n from bs group by 1, 2",
+        "workbook_reviews": f"""{book}, v as (select question_id, category, row, 'difficulty' kind, 'P' slot, d1 x from bq where d1 between 1 and 7 union all select question_id, category, row, 'difficulty', 'Q', d2 from bq where d2 between 1 and 7 union all select question_id, category, row, 'quality', 'R', q1 from bq where q1 between -1 and 1)
+            select question_id || '_' || kind || '_' || lower(slot) review_id, question_id, regexp_replace(category, '[^a-z]+', '_') || '_' || kind || '_' || lower(slot) reviewer_id, case when kind = 'quality' then x end quality, case when kind = 'difficulty' then x end difficulty, slot || row cell_ref from v""",
+        "value_parses": """with r as (select distinct review_id, review_timestamp t, ratings.difficulty d, ratings.quality q from reviews),
+            x as (select *, case when q < 0 or d is null then null else d end v, translate(upper(substr(sha1(review_id), 1, 2)), '0123456789', 'GHIJKLMNOP') l from r)
+            select review_id, v "number", cast(trunc(v) as int) whole, case when v between 2 and 5 then v end ranged, case when d is not null then cast(greatest(1, least(7, floor(d + 0.5))) as int) end up,
+            strftime(date_trunc('second', t) - case when q < 0 then interval 2 hour else interval 0 hour end, '%Y-%m-%d %H:%M:%S') "at", case when q is not null then trunc(q) = 1 end flag, (ascii(l) - 64) * 26 + ascii(l[2]) - 64 col from x""",
+        "question_likeness": f"""with x as (select distinct draft_id, question.question_text qt, unnest(list_transform(citations, lambda z: z.chunk_id)) chunk_id from {dr}), y as (select draft_id, x.chunk_id, list_distinct({rt("coalesce(qt, '')")}) a, list_distinct({rt("coalesce(text, '')")}) b from x join {c} c on c.chunk_id = x.chunk_id)
+            select draft_id, chunk_id, round(coalesce(len(list_intersect(a, b)) / nullif(len(a) + len(b) - len(list_intersect(a, b)), 0), 0.0), 6) jaccard, round(coalesce(len(list_intersect(a, b)) / nullif(len(a), 0), 0.0), 6) overlap from y""",
+        "first_deliveries": """select chunk_id id, strftime(min(loaded_at), '%Y-%m-%d %H:%M:%S') || coalesce(nullif('.' || rtrim(strftime(min(loaded_at), '%f'), '0'), '.'), '') loaded_at from textbook_chunks where chunk_id is not null group by 1
+            union all select question_id, strftime(min(loaded_at), '%Y-%m-%d %H:%M:%S') || coalesce(nullif('.' || rtrim(strftime(min(loaded_at), '%f'), '0'), '.'), '') from questions where question_id is not null group by 1""",
         "draft_citations": f"""select distinct draft_id, x.chunk_id, document_id from (select draft_id, unnest(list_transform(citations, lambda z: z.chunk_id)) chunk_id from {dr}) x join {c} c on c.chunk_id = x.chunk_id""",
     }
