@@ -441,7 +441,7 @@ def test_plain_spelling():
 
 def test_cutoff_and_wrong_flags():
     p, bad = np.array([0.9, 0.8, 0.7, 0.2, 0.1, 0.0]), np.array([True, True, True, False, False, False])
-    assert 0.2 < severity.best_cutoff(p, bad) <= 0.7 and severity.best_cutoff(p, bad & False) == 0.5
+    assert 0.5 <= severity.best_cutoff(p, bad) <= 0.7 and severity.best_cutoff(p, bad & False) == 0.5
     assert severity.train([]).doc("You are a pest.")[0] < 0.1  # without flags nothing is known
 
 
