@@ -23,7 +23,7 @@ def test_sql_has_its_query():
 def test_runs(spark, name):
     if not os.path.isdir(FOLDER):
         pytest.skip("no test tables here")
-    assert entry.queries()[name](spark, FOLDER).columns
+    entry.queries()[name](spark, FOLDER).write.format("noop").mode("overwrite").save()
 
 
 def test_broadcast_and_pushdown(spark):
