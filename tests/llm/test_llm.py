@@ -20,7 +20,7 @@ DAY = datetime(2024, 1, 1)
 def test_runs(spark, name):
     if not Path(FOLDER).is_dir():
         pytest.skip("no test tables here")
-    assert queries.queries()[name](spark, FOLDER).columns
+    queries.queries()[name](spark, FOLDER).write.format("noop").mode("overwrite").save()
 
 
 # ---- 1: mixtures
