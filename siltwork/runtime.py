@@ -32,10 +32,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return own
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise once in the shared folder, so that neither lineage nor work repeats and a lost executor loses nothing."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+#: Spark removes the shuffle files of a plan as soon as it has run.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut(df: DataFrame, tidy: bool = False) -> DataFrame:
+    """Materialise once in the shared folder, so that neither lineage nor work repeats and a lost executor loses nothing.
+
+    tidy: the shuffle files that made it are removed at once, so that those of long runs don't add up until the driver collects its garbage.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    if not tidy:
+        return df.checkpoint(eager=True)
+    before = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # the plan takes the setting when it is made
+    finally:
+        spark.conf.unset(_TIDY) if before is None else spark.conf.set(_TIDY, before)
 
 
 def discard(*done: DataFrame) -> None:

@@ -300,6 +300,53 @@ def test_copies_and_hot_keys_stay_whole(spark, monkeypatch):
     assert got == [(x, y) for x in range(20) for y in range(x + 1, 20)]
 
 
+def test_sketches_and_parity_of_many():
+    rng = np.random.default_rng(2)
+    counts = np.array([1, 40, 3, 700, 2, 41])
+    tokens, t, seeds = rng.integers(0, 1 << 62, counts.sum(), dtype=np.int64).view(np.uint64), 64, near.round_seeds(64, 3)
+    got, at = near.sketches(tokens, counts, t, seeds), np.append(0, np.cumsum(counts))
+    own = [tokens[at[i] : at[i + 1]] for i in range(len(counts))]
+    assert all((got[i] == near.sketch(x, t, seeds)).all() for i, x in enumerate(own))
+    assert (near.band_keys(got, 8, 8)[3] == near.band_keys(got[3], 8, 8)).all()
+    bits = near.parity(tokens, counts)
+    for i, x in enumerate(own):
+        for j, y in enumerate(own):
+            assert np.bitwise_count(bits[i] ^ bits[j]).sum() <= len({*x.tolist()} ^ {*y.tolist()})
+    words = "a b9 ab ba a b9"
+    h = near.word_hashes(words)
+    assert len(h) == 6 and len(set(h.tolist())) == 4 and (h[:2] == h[4:]).all() and (h[1] == near.word_hashes("zz b9")[1])
+
+
+@pytest.mark.parametrize("hot", [3, 2048])
+def test_bands_in_turn_leave_no_shuffle_files(spark, monkeypatch, hot):
+    from time import sleep
+
+    rng = random.Random(7)
+    base = [f"t{i}" for i in range(25)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(i % 7):
+            w[rng.randrange(25)] = f"u{rng.randrange(500)}"
+        rows.append((f"q{i:03d}", " ".join(w), "end of it"))
+    df = spark.createDataFrame(rows + rows[:9], "question_id string, q string, a string")
+    sets = [(i, frozenset(f"{q} {a}".split())) for i, q, a in rows]
+    want = {(x, y) for x, s in sets for y, r in sets if x < y and len(s & r) / len(s | r) >= 0.7}
+    monkeypatch.setattr(near, "HOT", hot, raising=False)
+    monkeypatch.setattr(near, "AT_ONCE_BYTES", 0, raising=False)
+    monkeypatch.setattr(near, "BANDS_AT_ONCE", 48, raising=False)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in disk.getAllFiles().mkString(" ").split() if "/shuffle_" in x}
+    before = files()
+    pairs = near.similar_pairs(df, "question_id", ["q", "a"])
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        sleep(0.2)
+    assert not left
+    assert {tuple(r) for r in pairs.collect()} == want and pairs.count() == len(want)
+
+
 # ---- 7: answers
 
 
