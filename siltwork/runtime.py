@@ -53,6 +53,17 @@ def cut(df: DataFrame, tidy: bool = False) -> DataFrame:
         spark.conf.unset(_TIDY) if before is None else spark.conf.set(_TIDY, before)
 
 
+def unsized(df: DataFrame) -> DataFrame:
+    """A table that `cut` gave, of unknown size to plans, for loops that join a table with itself.
+
+    The size of a join is estimated as the product of its sides and `cut` keeps the estimate, so its digits multiply in each turn, until
+    the driver's memory and time go into one number.
+    """
+    plan, session, none = df._jdf.queryExecution().logical(), df._jdf.sparkSession(), df.sparkSession._jvm.scala.Option.empty()
+    plan = plan.copy(plan.output(), plan.rdd(), plan.outputPartitioning(), plan.outputOrdering(), plan.isStreaming(), plan.stream(), session, none, none)
+    return DataFrame(df.sparkSession._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session, plan), df.sparkSession)
+
+
 def discard(*done: DataFrame) -> None:
     """Remove the files of tables that `cut` gave and that no later step reads; a table that isn't one is left alone."""
     for df in done:

@@ -128,6 +128,30 @@ def test_forest_equals_union_find(spark, hot, monkeypatch):
     assert forest.spanning_forest(e)[0].count() == 0
 
 
+def test_forest_ends_in_one_task(spark, monkeypatch):
+    rng = random.Random(3)
+    links = [(f"k{rng.randint(0, 400)}", f"n\u00e9{rng.randint(0, 300)}") for _ in range(380)] + [(f"p{i // 2}", f"q{(i + 1) // 2}") for i in range(200)] + [("\U0001f600", "\uffee"), ("\U0001f600", "n\u00e91")]
+    df = spark.createDataFrame(links, "key string, node string")
+    found = []
+    for least in (0, 150, 500_000):  # all rounds as tables, some, none
+        monkeypatch.setattr(forest, "LAST_EDGES", least)
+        jobs = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup(f"forest{least}", "")
+        labels, tree = forest.spanning_forest(forest.star_edges(df))
+        found.append(({(r.node, r.root) for r in labels.collect()}, sorted((r.a, r.b) for r in tree.collect()), len(jobs.getJobIdsForGroup(f"forest{least}"))))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found[0][:2] == found[1][:2] == found[2][:2]
+    assert len(found[0][1]) == len(found[0][0]) - len({r for _, r in found[0][0]}) == len(set(found[0][1]))
+    assert found[2][2] <= 20 < found[0][2]  # jobs don't grow with the length of the paths
+
+
+def test_estimates_stay_small_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(forest, "LAST_EDGES", 0)
+    e = spark.createDataFrame([(f"n{i:03}", f"n{i + 1:03}") for i in range(60)], "a string, b string")
+    for t in forest.spanning_forest(e):
+        assert len(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 100
+
+
 META = "example_id string, metadata struct<source_question_id:string,duplicate_source_question_ids:array<string>,duplicate_group:string,split:string>, root string"
 
 
