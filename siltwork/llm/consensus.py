@@ -134,7 +134,7 @@ class Climb:
         if not self.by_join:
             got, squares = self.own.merge(sums.toPandas(), on=["field", "code"]), (self.own[["a", "b", "d"]] ** 2).to_numpy().sum()
             dual = got["dual"].sum()
-            self.own = next(_newton(iter([got]))).sort_values(["field", "code"], ignore_index=True) if len(got) else got
+            self.own = next(_newton(iter([got]))).sort_values(["field", "code"], ignore_index=True) if len(got) else got[["field", "code", "a", "b", "d"]]
         else:
             sums = cut(sums)
             raters = cut(self.raters.join(sums.drop("dual"), ["field", "code"]).mapInPandas(_newton, _RATER))
