@@ -27,7 +27,7 @@ def star_edges(links: DataFrame) -> DataFrame:
     """
     links = links.where(F.col("key").isNotNull() & F.col("node").isNotNull()).select("key", "node").distinct()
     counts = links.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
-    total, most = counts.agg(F.sum("_n"), F.max("_n")).first()
+    total, most = cut(counts.agg(F.sum("_n"), F.max("_n")), tidy=True).first()
     least = max(HOT_ROWS, (total or 0) / 1000)
     if (most or 0) <= least:
         return links.select(F.col("node").alias("a"), F.col("key").alias("b"))
@@ -88,22 +88,23 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     Once at most LAST_EDGES edges are left, the same rounds run in one task; roots and forest don't depend on where that begins.
     Self-loops and repeated edges have no effect; no edges give two empty tables.
     """
-    e = edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("ea"), F.greatest("a", "b").alias("eb")).distinct()
-    e = unsized(cut(e.select(F.col("ea").alias("a"), F.col("eb").alias("b"), F.struct(F.xxhash64("ea", "eb").alias("w"), "ea", "eb").alias("e"))))
+    e = edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    e = unsized(cut(e, tidy=True))
+    kept, e = e, e.withColumn("e", F.struct(F.xxhash64("a", "b").alias("w"), F.col("a").alias("ea"), F.col("b").alias("eb")))
     labels, forest = None, []
     while e.count() > LAST_EDGES:
         both = e.select("a", "b", "e").union(e.select("b", "a", "e"))
-        best = unsized(cut(both.groupBy("a").agg(F.min(F.struct("e", "b")).alias("m")).select(F.col("a").alias("node"), F.col("m.b").alias("up"), F.col("m.e").alias("e"))))
+        best = unsized(cut(both.groupBy("a").agg(F.min(F.struct("e", "b")).alias("m")).select(F.col("a").alias("node"), F.col("m.b").alias("up"), F.col("m.e").alias("e")), tidy=True))
         forest.append(best.select(F.col("e.ea").alias("a"), F.col("e.eb").alias("b")).distinct())
         other = best.select(F.col("node").alias("up"), F.col("up").alias("upup"))
         joined = best.join(other, "up", "left")
         mutual = (F.col("upup") == F.col("node")) & (F.col("node") < F.col("up"))
-        up = unsized(cut(joined.select("node", F.when(mutual, F.col("node")).otherwise(F.col("up")).alias("up"))))
+        up = unsized(cut(joined.select("node", F.when(mutual, F.col("node")).otherwise(F.col("up")).alias("up")), tidy=True))
         while True:
             over = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
             above = over.select(F.col("up").alias("top"), F.col("top").alias("above"))
             # two jumps at once, and whether any path was longer, in the job that writes
-            jumped = unsized(cut(up.join(over, "up").join(above, "top").select("node", F.col("above").alias("up"), (F.col("above") != F.col("up")).alias("moved"))))
+            jumped = unsized(cut(up.join(over, "up").join(above, "top").select("node", F.col("above").alias("up"), (F.col("above") != F.col("up")).alias("moved")), tidy=True))
             discard(up)
             up = jumped
             if jumped.where("moved").isEmpty():
@@ -111,16 +112,16 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         root = up.select(F.col("node").alias("root"), F.col("up").alias("top"))
         ra, rb = root.select(F.col("root").alias("a"), F.col("top").alias("ra")), root.select(F.col("root").alias("b"), F.col("top").alias("rb"))
         left = e.join(ra, "a").join(rb, "b").where(F.col("ra") != F.col("rb"))
-        left = unsized(cut(left.groupBy(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).agg(F.min("e").alias("e"))))
-        discard(e)
+        left = unsized(cut(left.groupBy(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).agg(F.min("e").alias("e")), tidy=True))
+        discard(kept)
         if labels is None:  # every vertex has an edge
             labels = root.select(F.col("root").alias("node"), F.col("top").alias("root"))
         else:
-            before, labels = labels, unsized(cut(labels.join(root, "root", "left").select("node", F.coalesce("top", "root").alias("root"))))
+            before, labels = labels, unsized(cut(labels.join(root, "root", "left").select("node", F.coalesce("top", "root").alias("root")), tidy=True))
             discard(before, up)
-        e = left
-    last = unsized(cut(e.select("a", "b", "e.w", "e.ea", "e.eb").coalesce(1).mapInArrow(_last, "a string, b string, tree boolean")))
-    discard(e)
+        kept = e = left
+    last = unsized(cut(e.select("a", "b", "e.w", "e.ea", "e.eb").coalesce(1).mapInArrow(_last, "a string, b string, tree boolean"), tidy=True))
+    discard(kept)
     ends = last.where("not tree").select(F.col("a").alias("root"), F.col("b").alias("top"))
     if labels is None:
         labels = ends.select(F.col("root").alias("node"), F.col("top").alias("root"))
